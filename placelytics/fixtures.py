@@ -23,6 +23,17 @@ LINK = dt.timedelta(minutes=30)
 
 MONTHS = (("2023-12-01", "2023-12-31"), ("2024-01-01", "2024-01-31"))
 
+# Columns read from the driver's tables. With the schema given, planning opens no file.
+RAW = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_suppkey BIGINT",
+    "events": "ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING",
+}
+
 
 def _text(column: str) -> Column:
     return F.col(column).cast("string")
@@ -41,12 +52,21 @@ class Tables:
         self._dir = sf_dir
 
     def _raw(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._spark.read.schema(RAW[name]).parquet(f"{self._dir}/{name}.parquet")
 
     @cached_property
     def _events(self) -> DataFrame:
-        k = F.get_json_object("props", "$.k").cast("int")
-        return self._raw("events").select("ts", "event_type", "user_id", k.alias("k"))
+        """Events with the number in ``props``.
+
+        Read with a generator: filters on ``k`` cannot slip below it, so each document is parsed
+        once and not again for every filter.
+        """
+        k = F.json_tuple("props", "k").alias("k")
+        return (
+            self._raw("events")
+            .select("ts", "event_type", "user_id", k)
+            .withColumn("k", F.col("k").cast("int"))
+        )
 
     @cached_property
     def visits(self) -> DataFrame:
@@ -111,12 +131,11 @@ class Tables:
     @cached_property
     def _nations(self) -> DataFrame:
         """Nation with region name; 25 rows at any scale."""
-        nation = self._raw("nation").select("n_nationkey", "n_name", "n_regionkey")
-        region = self._raw("region").select("r_regionkey", "r_name")
+        named = self._raw("nation").join(
+            F.broadcast(self._raw("region")), F.col("n_regionkey") == F.col("r_regionkey")
+        )
         return F.broadcast(
-            nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")).select(
-                "n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("prefecture")
-            )
+            named.select("n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("prefecture"))
         )
 
     @cached_property
@@ -182,36 +201,44 @@ class Tables:
         )
 
     @cached_property
-    def spot_catalog(self) -> DataFrame:
+    def _suppliers(self) -> DataFrame:
         return (
             self._raw("supplier")
             .join(self._nations, F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(
-                F.col("s_name").alias("spot"),
-                "prefecture",
-                "city",
-                _text("s_suppkey").alias("address"),
-                F.concat(F.lit("cat_"), (F.col("s_suppkey") % 5).cast("string")).alias("cohort_caption"),
-            )
+            .select("s_suppkey", F.col("s_name").alias("spot"), "prefecture", "city")
+        )
+
+    @cached_property
+    def spot_catalog(self) -> DataFrame:
+        category = F.concat(F.lit("cat_"), (F.col("s_suppkey") % 5).cast("string"))
+        return self._suppliers.select(
+            "spot", "prefecture", "city", _text("s_suppkey").alias("address"), category.alias("cohort_caption")
         )
 
     @cached_property
     def categories(self) -> DataFrame:
-        return self._spark.createDataFrame([(c,) for c in CATEGORIES], "cohort_caption string")
+        rows = ", ".join(f"('{c}')" for c in CATEGORIES)
+        return self._spark.sql(f"SELECT * FROM VALUES {rows} AS c(cohort_caption)")
 
     @cached_property
     def device_spots(self) -> DataFrame:
-        orders = self._raw("orders").select("o_orderkey", "o_custkey")
-        lines = self._raw("lineitem").select("l_orderkey", "l_suppkey")
         bought = (
-            lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .select(_text("o_custkey").alias("adid"), _text("l_suppkey").alias("address"))
+            self._raw("lineitem")
+            .join(self._raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .select("o_custkey", "l_suppkey")
             .distinct()
         )
-        spots = self.spot_catalog.select("spot", "prefecture", "city", "address")
         months = [{"start_date": start, "end_date": end} for start, end in MONTHS]
         return (
-            bought.join(spots, "address")
+            bought.join(self._suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
             .withColumn("month", _literals(*months))
-            .select("adid", "spot", "prefecture", "city", "address", "month.start_date", "month.end_date")
+            .select(
+                _text("o_custkey").alias("adid"),
+                "spot",
+                "prefecture",
+                "city",
+                _text("s_suppkey").alias("address"),
+                "month.start_date",
+                "month.end_date",
+            )
         )

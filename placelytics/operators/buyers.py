@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placelytics import schemas
@@ -84,24 +84,42 @@ def linked_overlap(
     """Buyers' contacts at competitors of the same place on the same day, with the buyers' count.
 
     Contacts are counted one by one, so ``count`` can exceed ``own_count``. They are summed per
-    device, day and competitor before they meet the linked sales.
+    device, day and competitor before they meet the linked sales, and each linked sale then
+    yields one row for itself and one per competitor. Both counts come out of that one pass:
+    ``linked`` is the costliest input and is read once.
     """
     schemas.check(linked, schemas.LINKED, "linked")
     schemas.check(visits, schemas.VISITS, "visits", ["user_id", "place_id", "competitor_id", "adid", "date"])
     device_day = ["user_id", "place_id", "adid", "date"]
     group = ["user_id", "place_id", "competitor_id", "date", *by]
-    rival = F.col("competitor_id").alias("duplication_competitor_id")
-    contacts = (
+    rival = F.col("competitor_id").cast("int").alias("rival")
+    rivals = (
         on_days(visits, start, end, days)
         .where((F.col("competitor_id") != OWN_STORE) & F.col("adid").isNotNull())
         .groupBy(*device_day, rival)
         .agg(F.count(F.lit(1)).alias("contacts"))
+        .groupBy(*device_day)
+        .agg(F.collect_list(F.struct("rival", "contacts")).alias("rivals"))
     )
-    also_there = (
-        linked.join(contacts, device_day)
-        .groupBy(*group, "duplication_competitor_id")
-        .agg(F.sum("contacts").alias("count"))
-        .withColumn("duplication_place_id", F.col("place_id"))
+    itself = F.struct(
+        F.lit(None).cast("int").alias("rival"),
+        F.when(F.col("adid").isNotNull(), 1).otherwise(0).cast("long").alias("contacts"),
     )
-    own = linked.groupBy(*group).agg(F.count("adid").alias("own_count"))
-    return suppress_by_shop(also_there.join(own, group), min_counts)
+    seen = F.explode(F.concat(F.array(itself), F.coalesce("rivals", F.array())))
+    own = F.max(F.when(F.col("rival").isNull(), F.col("count"))).over(Window.partitionBy(*group))
+    counts = (
+        linked.join(rivals, device_day, "left")
+        .select(*group, seen.alias("seen"))
+        .groupBy(*group, F.col("seen.rival").alias("rival"))
+        .agg(F.sum("seen.contacts").alias("count"))
+        .withColumn("own_count", own)
+        .where(F.col("rival").isNotNull())
+        .select(
+            *group,
+            F.col("place_id").alias("duplication_place_id"),
+            F.col("rival").alias("duplication_competitor_id"),
+            "count",
+            "own_count",
+        )
+    )
+    return suppress_by_shop(counts, min_counts)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placelytics.functions.time import PERIOD_COLUMNS
@@ -32,31 +31,32 @@ def overlap(visits: DataFrame, period: str) -> DataFrame:
 
 
 def _place_sets(visits: DataFrame, key: str) -> DataFrame:
-    """Sorted blocks of distinct places per device and period."""
+    """Sorted distinct places per device and period; at most as many as are configured."""
     places = F.sort_array(F.collect_set(F.struct(*PLACE)))
-    sets = visits.where(F.col("adid").isNotNull()).groupBy("adid", key).agg(places.alias("places"))
-    block_ends = F.sequence(F.lit(0), F.floor((F.size("places") - 1) / BLOCK).cast("int"))
-    return sets.select(
-        key,
-        F.transform(block_ends, lambda i: F.slice("places", i * BLOCK + 1, BLOCK)).alias("blocks"),
-    )
+    return visits.where(F.col("adid").isNotNull()).groupBy("adid", key).agg(places.alias("places"))
 
 
 def _shared(sets: DataFrame, key: str) -> DataFrame:
     """Devices per period and pair ``place <= other``; ``place = other`` is the place's total."""
-    later = F.slice("blocks", F.col("at") + 2, F.size("blocks"))
+    last = F.size("places") - 1
+    starts = F.sequence(F.lit(0), last, F.lit(BLOCK))
+    partner_starts = F.sequence(F.col("first"), last, F.lit(BLOCK))
+    partner = F.slice("places", F.col("second") + 1, F.lit(BLOCK))
     block_pairs = (
-        sets.select(key, "blocks", F.posexplode("blocks").alias("at", "block"))
-        # A null partner stands for the block itself.
-        .select(key, "block", F.explode(F.concat(F.array(F.lit(None)), later)).alias("partner"))
+        sets.select(key, "places", F.explode(starts).alias("first"))
+        .select(key, "places", "first", F.explode(partner_starts).alias("second"))
+        .select(
+            key,
+            F.slice("places", F.col("first") + 1, F.lit(BLOCK)).alias("block"),
+            # Null stands for the block itself.
+            F.when(F.col("second") > F.col("first"), partner).alias("partner"),
+        )
         .groupBy(key, "block", "partner")
         .agg(F.count(F.lit(1)).alias("devices"))
     )
     rest_of_block = F.slice("block", F.col("at") + 1, F.size("block"))
     return (
-        block_pairs.select(
-            key, "devices", "block", "partner", F.posexplode("block").alias("at", "place")
-        )
+        block_pairs.select(key, "devices", "block", "partner", F.posexplode("block").alias("at", "place"))
         .select(key, "devices", "place", F.explode(F.coalesce("partner", rest_of_block)).alias("other"))
         .groupBy(key, "place", "other")
         .agg(F.sum("devices").alias("devices"))

@@ -24,15 +24,14 @@ _PARTITION_COPY = {"user_id": "usr", "place_id": "place"}
 def listed(visits: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """Visits whose ``column`` occurs in ``keys``, matched on its partition copy if there is one.
 
-    Spark prunes partitions through a join only when the small side carries a filter, hence the
-    test for blank ids, which name nothing anyway.
+    Spark prunes partitions through a join only when the small side carries a filter. That is
+    what the test for blank ids is for; a partition cannot have a blank name anyway.
     """
     copy = _PARTITION_COPY.get(column)
-    target = copy if copy in visits.columns else column
-    ids = keys.select(F.col(column).alias(target))
-    if column in _PARTITION_COPY:
-        ids = ids.where(F.length(target) > 0)
-    return visits.join(ids, target, "left_semi")
+    if copy not in visits.columns:
+        return visits.join(keys.select(column), column, "left_semi")
+    names = keys.select(F.col(column).alias(copy)).where(F.length(copy) > 0)
+    return visits.join(names, copy, "left_semi")
 
 
 def device_days(

@@ -1,0 +1,77 @@
+import itertools
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from rows import config, rows_of, visit, visits
+
+from placelytics.operators import overlap as module
+from placelytics.operators import visits as ops
+from placelytics.operators.overlap import overlap
+
+
+def test_ordered_pairs_with_own_totals(spark):
+    seen = visits(spark, visit("A", 0), visit("A", 1), visit("B", 0), visit("B", 0), visit("A", 0, adid="d2"))
+    places = config(spark, ("A", 0), ("A", 1), ("B", 0))
+    pairs = overlap(ops.monitored_visits(seen, places, "day"), "day")
+    assert rows_of(pairs) == [
+        ("2024-01-10", "A", 0, "A", 1, 1, 2),
+        ("2024-01-10", "A", 0, "B", 0, 1, 2),
+        ("2024-01-10", "A", 1, "A", 0, 1, 1),
+        ("2024-01-10", "A", 1, "B", 0, 1, 1),
+        ("2024-01-10", "B", 0, "A", 0, 1, 1),
+        ("2024-01-10", "B", 0, "A", 1, 1, 1),
+    ]
+
+
+def test_place_without_common_device_disappears_and_null_devices_do_not_meet(spark):
+    seen = visits(spark, visit("A", adid=None), visit("B", adid=None), visit("C", adid="d3"))
+    places = config(spark, ("A", 0), ("B", 0), ("C", 0))
+    assert overlap(ops.monitored_visits(seen, places, "day"), "day").count() == 0
+
+
+def test_week_brings_days_together_that_the_day_keeps_apart(spark):
+    seen = visits(spark, visit("A", when="2024-01-07T10:00:00"), visit("B", when="2024-01-08T10:00:00"))
+    places = config(spark, ("A", 0), ("B", 0))
+    assert overlap(ops.monitored_visits(seen, places, "day"), "day").count() == 0
+    weekly = overlap(ops.monitored_visits(seen, places, "week"), "week")
+    assert rows_of(weekly, "week_of_monday", "place_id") == [("2024-01-08", "A"), ("2024-01-08", "B")]
+    iso = overlap(ops.monitored_visits(seen, places, "week", week_start="iso"), "week")
+    assert iso.count() == 0
+
+
+def _brute_force(rows):
+    sets = defaultdict(set)
+    for place, rival, adid, date in rows:
+        sets[adid, date].add((place, rival))
+    own, shared = Counter(), Counter()
+    for (_, date), places in sets.items():
+        own.update((date, p) for p in places)
+        shared.update((date, a, b) for a, b in itertools.permutations(places, 2))
+    return sorted(((d, *a, *b, n, own[d, a]) for (d, a, b), n in shared.items()), key=repr)
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 128])
+def test_splitting_wide_devices_changes_nothing(spark, monkeypatch, block):
+    monkeypatch.setattr(module, "BLOCK", block)
+    rng = random.Random(block)
+    rows = [
+        (f"P{rng.randrange(9)}", rng.randrange(2), f"d{rng.randrange(12)}", f"2024-01-0{rng.randrange(1, 3)}")
+        for _ in range(300)
+    ]
+    rows += [(f"P{i}", 0, "everywhere", "2024-01-01") for i in range(9)]
+    df = spark.createDataFrame(rows, "place_id string, competitor_id int, adid string, date string")
+    assert rows_of(overlap(df, "day")) == _brute_force(rows)
+
+
+def test_counts_are_symmetric_and_bounded_by_the_own_count(spark):
+    import __spark_entry__ as contract
+
+    pairs = contract.queries()["overlap_weekly"](spark, "/root/testdata/sf0.001").collect()
+    counts = {
+        (r.week_of_monday, (r.place_id, r.competitor_id), (r.duplication_place_id, r.duplication_competitor_id)): r
+        for r in pairs
+    }
+    for (week, a, b), row in counts.items():
+        assert counts[week, b, a].duplication_count == row.duplication_count
+        assert row.duplication_count <= row.own_count

@@ -1,0 +1,65 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from placelytics.functions import time
+
+
+def test_sunday_gets_the_next_days_monday(spark):
+    days = ["2024-01-06", "2024-01-07", "2024-01-08", "2024-01-14"]
+    df = spark.createDataFrame([(d,) for d in days], "date string")
+    labels = [r[0] for r in df.select(time.week_label(F.col("date"))).collect()]
+    assert labels == ["2024-01-01", "2024-01-08", "2024-01-08", "2024-01-15"]
+    iso = [r[0] for r in df.select(time.week_label(F.col("date"), "iso")).collect()]
+    assert iso == ["2024-01-01", "2024-01-01", "2024-01-08", "2024-01-08"]
+
+
+def test_unknown_week_start_and_period_are_refused(spark):
+    df = spark.createDataFrame([("2024-01-06",)], "date string")
+    with pytest.raises(ValueError):
+        time.week_label(F.col("date"), "friday")
+    with pytest.raises(ValueError):
+        time.with_period(df, "year")
+
+
+def test_month_labels_across_a_year_end(spark):
+    df = spark.createDataFrame([("2023-12-31",), ("2024-01-01",)], "date string")
+    got = df.select(time.month_label(F.col("date")), time.month_start(F.col("date"))).collect()
+    assert [tuple(r) for r in got] == [("2023-12", "2023-12-01"), ("2024-01", "2024-01-01")]
+
+
+MOMENTS = [
+    "1969-12-31 23:59:59.999999",
+    "1970-01-01 00:00:00",
+    "2024-03-10 02:30:00.000001",  # inside the hour New York skips
+    "2024-11-03 01:30:00",  # inside the hour New York repeats
+    "2024-01-31 23:59:59.5",
+]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
+def test_micros_do_not_depend_on_the_session_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(m,) for m in MOMENTS], "m string").select(
+            F.col("m").cast("timestamp_ntz").alias("m")
+        )
+        got = [r[0] for r in df.select(time.micros(df, "m")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    epoch = dt.datetime(1970, 1, 1)
+    assert got == [(dt.datetime.fromisoformat(m) - epoch) // dt.timedelta(microseconds=1) for m in MOMENTS]
+
+
+def test_day_filters(spark):
+    df = spark.createDataFrame([(f"2024-01-0{i}",) for i in range(1, 8)], "date string")
+    kept = time.on_days(df, "2024-01-02", "2024-01-05", ["2024-01-01", "2024-01-02", "2024-01-05"])
+    assert sorted(r[0] for r in kept.collect()) == ["2024-01-02", "2024-01-05"]
+    assert time.on_days(df).count() == 7
+
+
+def test_report_day_uses_the_local_calendar():
+    late = dt.datetime(2024, 1, 20, 16, 0, tzinfo=dt.timezone.utc)  # already the 21st in Tokyo
+    assert time.report_day(late) == "2024-01-13"
+    assert time.report_day(late, zone="UTC") == "2024-01-12"

@@ -1,0 +1,71 @@
+import pytest
+from rows import config, rows_of, visit, visits
+
+from placelytics import schemas
+from placelytics.operators import visits as ops
+
+
+def test_device_days_are_distinct_own_store_visits_at_listed_places(spark):
+    seen = visits(
+        spark,
+        visit(when="2024-01-10T09:00:00"),
+        visit(when="2024-01-10T18:00:00"),
+        visit(rival=1),
+        visit(place="B"),
+        visit(place="Z"),
+    )
+    # B is listed as a competitor only.
+    places = config(spark, ("A", 0), ("B", 1))
+    days = ops.device_days(seen, places)
+    assert rows_of(days) == [("A", 0, "d1", "2024-01-10"), ("B", 0, "d1", "2024-01-10")]
+    strict = ops.device_days(seen, places, require_config=True)
+    assert rows_of(strict) == [("A", 0, "d1", "2024-01-10")]
+
+
+def test_tenant_lists_are_independent(spark):
+    seen = visits(spark, visit("A", 1), visit("B", 0), visit("B", 2), visit("A", 0, user_id="X"))
+    days = ops.tenant_device_days(seen, config(spark, ("A", 0), ("B", 1)))
+    # (A, 1) and (B, 0) are not configured, but their parts are.
+    assert rows_of(days, "place_id", "competitor_id") == [("A", 1), ("B", 0)]
+
+
+def test_place_device_days_take_every_tenant_and_competitor(spark):
+    seen = visits(spark, visit("A", 3, user_id="X"), visit("B"))
+    days = ops.place_device_days(seen, config(spark, ("A", 0)))
+    assert rows_of(days, "user_id", "place_id", "competitor_id") == [("X", "A", 3)]
+
+
+def test_earliest_start_date_wins_and_duplicates_count_once(spark):
+    seen = visits(spark, *[visit(when=f"2024-01-{d}T10:00:00") for d in ("01", "05", "10", "10")])
+    places = config(spark, ("A", 0, "2024-01-05"), ("A", 0, "2024-01-10"))
+    periods = ops.device_periods(seen, places, "day", end="2024-01-31")
+    assert rows_of(ops.unique_devices(periods, "day")) == [("A", 0, "2024-01-05", 1), ("A", 0, "2024-01-10", 1)]
+
+
+def test_months_follow_the_contact_time_while_filters_follow_the_date(spark):
+    late = visit(when="2024-02-01T00:10:00", date="2024-01-31")
+    periods = ops.device_periods(visits(spark, late), config(spark, ("A", 0)), "month", end="2024-01-31")
+    assert rows_of(periods, "year_month") == [("2024-02",)]
+
+
+def test_null_device_makes_a_group_but_no_count(spark):
+    periods = ops.device_periods(visits(spark, visit(adid=None)), config(spark, ("A", 0)), "day")
+    assert rows_of(ops.unique_devices(periods, "day")) == [("A", 0, "2024-01-10", 0)]
+
+
+def test_missing_and_mistyped_columns_are_named(spark):
+    seen = visits(spark, visit())
+    with pytest.raises(schemas.SchemaError, match="no column adid"):
+        ops.device_days(seen.drop("adid"), config(spark, ("A", 0)))
+    text = seen.withColumn("competitor_id", seen["competitor_id"].cast("string"))
+    with pytest.raises(schemas.SchemaError, match="competitor_id is string"):
+        ops.device_days(text, config(spark, ("A", 0)))
+
+
+def test_range_run_equals_the_union_of_single_days(spark):
+    days = [f"2024-01-{d:02d}" for d in range(8, 13)]
+    seen = visits(spark, *[visit(adid=a, when=f"{d}T10:00:00") for d in days for a in ("d1", "d2")])
+    places = config(spark, ("A", 0))
+    whole = rows_of(ops.device_days(seen, places, start=days[0], end=days[-1]))
+    single = [r for d in days for r in rows_of(ops.device_days(seen, places, days=[d]))]
+    assert whole == sorted(single, key=repr)
