@@ -46,8 +46,8 @@ def month_start(date: Column) -> Column:
 
 
 def with_period(visits: DataFrame, period: str, week_start: str = "sunday") -> DataFrame:
-    """Add the period column. Days and weeks follow ``date``, months follow ``datetime``."""
-    if period == "day":
+    """Add the period column, unless it is there. Days and weeks follow ``date``, months ``datetime``."""
+    if PERIOD_COLUMNS.get(period) in visits.columns:
         return visits
     if period == "week":
         return visits.withColumn(PERIOD_COLUMNS["week"], week_label(F.col("date"), week_start))

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placelytics.functions.time import PERIOD_COLUMNS
+from placelytics.operators.suppress import suppress
 from placelytics.operators.visits import PLACE
 
 # Places of one device that one row spreads over; longer lists are split over several rows.
 BLOCK = 128
 
 
-def overlap(visits: DataFrame, period: str) -> DataFrame:
+def overlap(visits: DataFrame, period: str, *, min_count: int | None = None) -> DataFrame:
     """Shared devices of every ordered pair of different places, with the first place's total.
 
     ``visits`` holds place, competitor, device and period, as :func:`monitored_visits` or
@@ -27,7 +28,8 @@ def overlap(visits: DataFrame, period: str) -> DataFrame:
     device seen everywhere is no single task.
     """
     key = PERIOD_COLUMNS[period]
-    return _with_own_count(_shared(_place_sets(visits, key), key), key)
+    pairs = _with_own_count(_shared(_place_sets(visits, key), key), key)
+    return suppress(pairs, min_count, "duplication_count")
 
 
 def _place_sets(visits: DataFrame, key: str) -> DataFrame:

@@ -97,18 +97,18 @@ def profile_cohort(
     """Visitors per day, place, interest cohort and topic.
 
     Each device counts once per cohort and topic row. Devices with an empty or missing cohort
-    list drop out. The list is unrolled after the join, so it crosses the network once.
+    list drop out. The lists are unrolled before they are collapsed, so an id that recurs with
+    many different lists still brings each cohort to the join only once.
     """
     schemas.check(cohorts, schemas.COHORTS, "cohorts")
-    interests = collapse(
-        cohorts.where(F.col("visit_category") == category),
-        *["adid", "visit_category", "cohortlist", "start_date", "end_date"],
+    unrolled = cohorts.where(F.col("visit_category") == category).withColumn(
+        "cohort", F.explode("cohortlist")
     )
+    interests = collapse(unrolled, "adid", "visit_category", "cohort", "start_date", "end_date")
     behaviour = select_topics(topics, version, number, pattern).withColumnRenamed(COPIES, "topic_copies")
     counts = (
         valid_on(device_days, interests)
         .join(behaviour, "adid")
-        .withColumn("cohort", F.explode("cohortlist"))
         .groupBy(*PLACE, "date", "visit_category", "cohort", *TOPIC)
         .agg(counted(distinct_devices, F.col(COPIES) * F.col("topic_copies")))
     )

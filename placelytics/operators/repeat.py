@@ -37,18 +37,19 @@ def visit_history(device_days: DataFrame) -> DataFrame:
 def rolling_visits(
     device_days: DataFrame,
     *,
-    days: int = ROLLING_DAYS,
+    days: int | None = ROLLING_DAYS,
     cap: int | None = MAX_REPEATS,
     report_from: str | None = None,
 ) -> DataFrame:
-    """Visit days in the last ``days`` days, the day itself and both ends included.
+    """Visit days in the last ``days`` days, the day itself and both ends included; all if ``None``.
 
     ``visited_30days`` is the number of repeat visits, one less. Device-days with more than
     ``cap`` are not reported. Load ``days`` days before the reporting period and pass its first
     day as ``report_from`` for full counts at its start.
     """
     day = F.unix_date(F.col("date").cast("date"))
-    recent = Window.partitionBy(*DEVICE_AT_PLACE).orderBy(day).rangeBetween(-days, 0)
+    first = Window.unboundedPreceding if days is None else -days
+    recent = Window.partitionBy(*DEVICE_AT_PLACE).orderBy(day).rangeBetween(first, Window.currentRow)
     counts = device_days.withColumn("visit_count_in_30days", F.count("adid").over(recent)).withColumn(
         "visited_30days", F.col("visit_count_in_30days") - 1
     )

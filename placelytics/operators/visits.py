@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from placelytics import schemas
 from placelytics.functions.time import PERIOD_COLUMNS, on_days, with_period
+from placelytics.operators.suppress import suppress
 
 PLACE = ["place_id", "competitor_id"]
 OWN_STORE = 0
@@ -51,9 +52,13 @@ def device_days(
     schemas.check(visits, schemas.VISITS, "visits", ["adid", "date", *PLACE])
     schemas.check(config, schemas.PLACE_CONFIG, "place_config", PLACE)
     own = on_days(visits, start, end, days).where(F.col("competitor_id") == OWN_STORE)
-    if require_config:
-        config = config.where(F.col("competitor_id") == OWN_STORE)
-    return listed(own, config, "place_id").select(*PLACE, "adid", "date").dropDuplicates()
+    own = listed(own, config, "place_id").select(*PLACE, "adid", "date")
+    return (configured_only(own, config) if require_config else own).dropDuplicates()
+
+
+def configured_only(device_days: DataFrame, config: DataFrame) -> DataFrame:
+    """Device-days whose (place, competitor) is itself configured."""
+    return device_days.join(config.select(*PLACE), PLACE, "left_semi")
 
 
 def tenant_device_days(
@@ -94,6 +99,16 @@ def place_device_days(
     return found.select("user_id", *PLACE, "adid", "date").dropDuplicates()
 
 
+def _monitored(visits: DataFrame, config: DataFrame, end: str | None) -> DataFrame:
+    schemas.check(visits, schemas.VISITS, "visits", ["adid", "date", "datetime", *PLACE])
+    schemas.check(config, schemas.PLACE_CONFIG_FROM, "place_config", [*PLACE, "start_date"])
+    opened = config.groupBy(*PLACE).agg(F.min("start_date").alias("start_date"))
+    seen = on_days(visits, end=end)
+    if _PARTITION_COPY["place_id"] in visits.columns:
+        seen = listed(seen, config, "place_id")
+    return seen.join(opened, PLACE).where(F.col("date") >= F.col("start_date"))
+
+
 def monitored_visits(
     visits: DataFrame,
     config: DataFrame,
@@ -107,13 +122,20 @@ def monitored_visits(
     Returns place, competitor, device and period, one row per contact. Duplicate configuration
     rows count once and the earliest start date wins.
     """
-    schemas.check(visits, schemas.VISITS, "visits", ["adid", "date", "datetime", *PLACE])
-    schemas.check(config, schemas.PLACE_CONFIG_FROM, "place_config", [*PLACE, "start_date"])
-    opened = config.groupBy(*PLACE).agg(F.min("start_date").alias("start_date"))
-    seen = on_days(visits, end=end)
-    if _PARTITION_COPY["place_id"] in visits.columns:
-        seen = listed(seen, config, "place_id")
-    seen = seen.join(opened, PLACE).where(F.col("date") >= F.col("start_date"))
+    return in_period(_monitored(visits, config, end), period, week_start)
+
+
+def monitored_days(visits: DataFrame, config: DataFrame, *, end: str | None = None) -> DataFrame:
+    """Distinct device-days of :func:`monitored_visits` with the month of their contacts.
+
+    One pass over the visits from which :func:`in_period` gives days, weeks and months alike.
+    """
+    seen = with_period(_monitored(visits, config, end), "month")
+    return seen.select(*PLACE, "adid", "date", PERIOD_COLUMNS["month"]).dropDuplicates()
+
+
+def in_period(seen: DataFrame, period: str, week_start: str = "sunday") -> DataFrame:
+    """Place, competitor, device and period of monitored visits."""
     return with_period(seen, period, week_start).select(*PLACE, "adid", PERIOD_COLUMNS[period])
 
 
@@ -129,9 +151,10 @@ def device_periods(
     return monitored_visits(visits, config, period, end=end, week_start=week_start).dropDuplicates()
 
 
-def unique_devices(periods: DataFrame, period: str) -> DataFrame:
+def unique_devices(periods: DataFrame, period: str, *, min_count: int | None = None) -> DataFrame:
     """Devices per place and period, from the rows of :func:`device_periods`.
 
     A device id that is null makes a group appear but is not counted.
     """
-    return periods.groupBy(*PLACE, PERIOD_COLUMNS[period]).agg(F.count("adid").alias("own_count"))
+    counts = periods.groupBy(*PLACE, PERIOD_COLUMNS[period]).agg(F.count("adid").alias("own_count"))
+    return suppress(counts, min_count, "own_count")

@@ -1,7 +1,9 @@
 """The reports as jobs: operators plus the folders and partitions their results go to.
 
-Each job takes its inputs as DataFrames and writes under ``out``. Days and places are ranges
-and lists of one job, not runs of their own. Every job returns the folders it wrote.
+Each job takes its inputs as DataFrames and writes under ``out``, a folder all executors share.
+Days and places are ranges and lists of one job, not runs of their own. The visits are read
+once per job; what several reports need of them is kept in a reliable checkpoint. Every job
+returns the folders it wrote.
 """
 
 from __future__ import annotations
@@ -19,6 +21,14 @@ from placelytics.sources.sinks import publish, with_partitions
 PERIOD_FOLDERS = {"day": "daily", "week": "weekly", "month": "monthly"}
 
 
+def _computed_once(df: DataFrame, out: str) -> DataFrame:
+    """``df`` from a checkpoint in the cluster's own folder; under ``out`` if it names none."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{out}/_checkpoints")
+    return df.checkpoint()
+
+
 def overlap_reports(
     visits_table: DataFrame,
     config: DataFrame,
@@ -29,18 +39,14 @@ def overlap_reports(
     format: str = "parquet",
 ) -> list[str]:
     """Place overlap per day, week and month up to ``end``, by place."""
+    seen = _computed_once(visits.monitored_days(visits_table, config, end=end or report_day()), out)
     written = []
     for period in periods:
-        seen = visits.monitored_visits(visits_table, config, period, end=end or report_day())
+        pairs = overlap.overlap(visits.in_period(seen, period), period)
         folder = f"{out}/duplication/{PERIOD_FOLDERS[period]}"
         order = ["competitor_id", "duplication_place_id", "duplication_competitor_id"]
-        publish(
-            overlap.overlap(seen, period),
-            folder,
-            ["place_id"],
-            sort_by=[*order, PERIOD_COLUMNS[period]],
-            format=format,
-        )
+        order.append(PERIOD_COLUMNS[period])
+        publish(pairs, folder, ["place_id"], sort_by=order, format=format)
         written.append(folder)
     return written
 
@@ -63,9 +69,9 @@ def profile_reports(
     """Home and work areas, topics, and cohorts by topic, by day; by default of one day."""
     if start is None and end is None and days is None:
         days = [report_day()]
-    span = {"start": start, "end": end, "days": None if days is None else list(days)}
-    own = visits.device_days(visits_table, config, **span)
-    configured = visits.device_days(visits_table, config, require_config=True, **span)
+    own = visits.device_days(visits_table, config, start=start, end=end, days=days)
+    own = _computed_once(own, out)
+    configured = visits.configured_only(own, config)
     reports = {
         "location": profiles.profile_location(own, home_work, prefectures=prefectures),
         "topic": profiles.profile_topic(configured, topics),
@@ -90,7 +96,7 @@ def movement_report(
     end: str | None = None,
     prefectures: Iterable[str] = profiles.PREFECTURES,
     format: str = "parquet",
-) -> str:
+) -> list[str]:
     """Co-visited spots of all places at once, by place and month or by place and day."""
     start = start or report_day()
     seen = visits.tenant_device_days(visits_table, config, start=start, end=end or start)
@@ -101,8 +107,9 @@ def movement_report(
     labelled = with_partitions(counts, date="date" if daily else "start_date", day=daily)
     partitions = PARTITIONS if daily else PARTITIONS[:-1]
     folder = f"{out}/moving"
-    publish(labelled, folder, partitions, sort_by=["competitor_id", "cohort_caption", "spot"], format=format)
-    return folder
+    order = ["competitor_id", "cohort_caption", "spot"]
+    publish(labelled, folder, partitions, sort_by=order, format=format)
+    return [folder]
 
 
 def link_job(
@@ -114,13 +121,13 @@ def link_job(
     start: str,
     end: str,
     tolerance: dt.timedelta = poslink.TOLERANCE,
-) -> str:
+) -> list[str]:
     """Link sales to visits and write the intermediate the buyer reports read."""
     at_shops = visits.listed(visits_table, shops, "place_id")
     linked = poslink.link_sales(at_shops, poslink.pos_sales(pos, shops), tolerance, start=start, end=end)
     folder = f"{out}/intermediate"
     publish(with_partitions(linked), folder, PARTITIONS)
-    return folder
+    return [folder]
 
 
 def buyer_reports(
@@ -164,7 +171,7 @@ def repeat_report(
     end: str,
     lookback_from: str | None = None,
     format: str = "parquet",
-) -> str:
+) -> list[str]:
     """Repeat visits by item, by place and month.
 
     Visits before ``start`` count towards the repeats only if ``lookback_from`` loads them.
@@ -173,5 +180,6 @@ def repeat_report(
     rolling = repeat.rolling_visits(seen, report_from=start)
     counts = repeat.repeat_by_item(rolling, read_linked(spark, intermediate))
     folder = f"{out}/repeater"
-    publish(with_partitions(counts, day=False), folder, PARTITIONS[:-1], sort_by=["date"], format=format)
-    return folder
+    labelled = with_partitions(counts, day=False)
+    publish(labelled, folder, PARTITIONS[:-1], sort_by=["date"], format=format)
+    return [folder]

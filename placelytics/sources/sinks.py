@@ -42,4 +42,4 @@ def publish(
         .options(**(options or {}))
         .partitionBy(*partition_by)
         .save(path)
-    )
+    )
\ No newline at end of file

@@ -75,3 +75,26 @@ def test_counts_are_symmetric_and_bounded_by_the_own_count(spark):
     for (week, a, b), row in counts.items():
         assert counts[week, b, a].duplication_count == row.duplication_count
         assert row.duplication_count <= row.own_count
+
+
+def test_one_pass_of_days_serves_every_period(spark):
+    seen = visits(
+        spark,
+        visit("A", when="2024-01-31T10:00:00"),
+        visit("A", when="2024-02-01T00:10:00", date="2024-01-31"),
+        visit("B", when="2024-02-01T10:00:00"),
+    )
+    places = config(spark, ("A", 0), ("B", 0))
+    once = ops.monitored_days(seen, places)
+    for period in ("day", "week", "month"):
+        direct = overlap(ops.monitored_visits(seen, places, period), period)
+        assert rows_of(overlap(ops.in_period(once, period), period)) == rows_of(direct)
+    assert rows_of(overlap(ops.in_period(once, "month"), "month"), "year_month") == [("2024-02",), ("2024-02",)]
+
+
+def test_small_overlaps_can_be_suppressed(spark):
+    seen = visits(spark, *[visit(p, adid=a) for p in "AB" for a in ("d1", "d2")], visit("C", adid="d1"))
+    pairs = ops.monitored_visits(seen, config(spark, ("A", 0), ("B", 0), ("C", 0)), "day")
+    assert rows_of(overlap(pairs, "day", min_count=2), "place_id", "duplication_place_id") == [("A", "B"), ("B", "A")]
+    periods = pairs.distinct()
+    assert ops.unique_devices(periods, "day", min_count=2).count() == 2

@@ -27,6 +27,13 @@ def test_rolling_frame_covers_thirty_one_days(spark):
     ]
 
 
+def test_other_frames(spark):
+    seen = days(spark, "2024-01-01", "2024-01-08", "2024-03-01")
+    assert rows_of(repeat.rolling_visits(seen, days=6), "visited_30days") == [(0,), (0,), (0,)]
+    assert rows_of(repeat.rolling_visits(seen, days=7), "visited_30days") == [(0,), (0,), (1,)]
+    assert rows_of(repeat.rolling_visits(seen, days=None), "visited_30days") == [(0,), (1,), (2,)]
+
+
 def test_cap_drops_frequent_visitors_and_lookback_is_not_reported(spark):
     dates = [f"2024-01-{d:02d}" for d in range(1, 21)]
     assert repeat.rolling_visits(days(spark, *dates)).count() == 16

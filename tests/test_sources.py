@@ -120,6 +120,7 @@ def test_rewriting_one_partition_leaves_the_others(spark, tmp_path):
     path = str(tmp_path / "out")
     publish(linked(spark, {"place_id": "1"}, {"place_id": "2", "adid": "old"}), path, ["place_id"])
     publish(linked(spark, {"place_id": "2", "adid": "new"}), path, ["place_id"])
+    publish(linked(spark), path, ["place_id"])
     schema = "adid string, place_id string"
     assert rows_of(spark.read.schema(schema).parquet(path)) == [("d1", "1"), ("new", "2")]
 
