@@ -29,8 +29,13 @@ def read_table(spark: SparkSession, name: str, schema: T.StructType) -> DataFram
     return schemas.check(spark.table(name), schema, name)
 
 
-def _text_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+# Text columns named by the header. A folder whose files differ in their headers fails the read
+# instead of mixing columns up.
+_CSV = {"header": "true", "inferSchema": "false", "enforceSchema": "false"}
+
+
+def _text_csv(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.options(**_CSV).csv(path)
 
 
 def _columns(df: DataFrame, path: str, names: Iterable[str]) -> DataFrame:
@@ -94,11 +99,8 @@ def read_pos(
     wanted = None if purchase_days is None else [day.replace("-", "") for day in purchase_days]
 
     def lines(folder: str) -> DataFrame:
-        if format == "csv":
-            reader = spark.read.option("header", True).option("inferSchema", False)
-        else:
-            reader = spark.read
-        df = reader.options(**(options or {})).format(format).load(folder)
+        settings = {**(_CSV if format == "csv" else {}), **(options or {})}
+        df = spark.read.format(format).options(**settings).load(folder)
         kept = [*columns, *([] if wanted is None else [day_column])]
         df = _columns(df, folder, kept)
         if wanted is not None:

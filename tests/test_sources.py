@@ -72,6 +72,13 @@ def test_pos_exports_of_several_layouts(spark, folder, tmp_path):
     assert rows_of(day, "item_name") == [("cake",), ("tea",)]
 
 
+def test_differing_headers_in_one_folder_fail(spark, folder, tmp_path):
+    folder("mixed/1.csv", "商品名,店舗,購入日時\ntea,1,2024-05-10 09:30:00\n")
+    folder("mixed/2.csv", "店舗,商品名,購入日時\n1,tea,2024-05-10 09:30:00\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_pos(spark, str(tmp_path / "mixed")).collect()
+
+
 def test_pos_from_parquet_and_with_a_time_format(spark, folder, tmp_path):
     path = str(tmp_path / "parquet")
     when = dt.datetime(2024, 5, 10, 9, 30)
