@@ -36,6 +36,7 @@ def covisited_spots(
 
     Spots outside the areas and categories are dropped before the join with the visits.
     """
+    schemas.check(device_days, schemas.TENANT_DEVICE_DAYS, "device_days")
     schemas.check(device_spots, schemas.DEVICE_SPOTS, "device_spots")
     schemas.check(catalog, schemas.SPOT_CATALOG, "spot_catalog")
     schemas.check(categories, schemas.CATEGORIES, "categories")

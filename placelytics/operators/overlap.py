@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placelytics import schemas
 from placelytics.functions.time import PERIOD_COLUMNS
 from placelytics.operators.suppress import suppress
 from placelytics.operators.visits import PLACE
@@ -23,13 +24,15 @@ def overlap(visits: DataFrame, period: str, *, min_count: int | None = None) ->
     The devices are never joined with themselves. One aggregation, combined before its shuffle,
     gives the set of places of each device and period. Devices with the same set are counted
     before pairs are formed, so pairs are built once per distinct set, for one order only, and
-    mirrored after they have been summed. A set of more than ``BLOCK`` places is cut into
+    mirrored after they have been summed. The totals come from the same counted sets. A set of more than ``BLOCK`` places is cut into
     blocks and its pairs of blocks are spread by the same shuffle that counts equal sets, so a
     device seen everywhere is no single task.
     """
     key = PERIOD_COLUMNS[period]
-    pairs = _with_own_count(_shared(_place_sets(visits, key), key), key)
-    return suppress(pairs, min_count, "duplication_count")
+    schemas.check(visits, schemas.DEVICE_DAYS, "visits", [*PLACE, "adid"])
+    blocks = _blocks(_place_sets(visits, key), key)
+    pairs = suppress(_shared(blocks, key), min_count, "duplication_count")
+    return pairs.join(_own(blocks, key), [key, *PLACE])
 
 
 def _place_sets(visits: DataFrame, key: str) -> DataFrame:
@@ -38,52 +41,56 @@ def _place_sets(visits: DataFrame, key: str) -> DataFrame:
     return visits.where(F.col("adid").isNotNull()).groupBy("adid", key).agg(places.alias("places"))
 
 
-def _shared(sets: DataFrame, key: str) -> DataFrame:
-    """Devices per period and pair ``place <= other``; ``place = other`` is the place's total."""
+def _blocks(sets: DataFrame, key: str) -> DataFrame:
+    """Devices per period and pair of blocks of places; a null partner is the block itself."""
     last = F.size("places") - 1
     starts = F.sequence(F.lit(0), last, F.lit(BLOCK))
     partner_starts = F.sequence(F.col("first"), last, F.lit(BLOCK))
     partner = F.slice("places", F.col("second") + 1, F.lit(BLOCK))
-    block_pairs = (
+    return (
         sets.select(key, "places", F.explode(starts).alias("first"))
         .select(key, "places", "first", F.explode(partner_starts).alias("second"))
         .select(
             key,
             F.slice("places", F.col("first") + 1, F.lit(BLOCK)).alias("block"),
-            # Null stands for the block itself.
             F.when(F.col("second") > F.col("first"), partner).alias("partner"),
         )
         .groupBy(key, "block", "partner")
         .agg(F.count(F.lit(1)).alias("devices"))
     )
-    rest_of_block = F.slice("block", F.col("at") + 1, F.size("block"))
-    return (
-        block_pairs.select(key, "devices", "block", "partner", F.posexplode("block").alias("at", "place"))
+
+
+def _shared(blocks: DataFrame, key: str) -> DataFrame:
+    """Devices per period and ordered pair of different places."""
+    rest_of_block = F.slice("block", F.col("at") + 2, F.size("block"))
+    pairs = (
+        blocks.select(key, "devices", "block", "partner", F.posexplode("block").alias("at", "place"))
         .select(key, "devices", "place", F.explode(F.coalesce("partner", rest_of_block)).alias("other"))
         .groupBy(key, "place", "other")
         .agg(F.sum("devices").alias("devices"))
     )
-
-
-def _with_own_count(shared: DataFrame, key: str) -> DataFrame:
     as_is = F.struct("place", "other")
     swapped = F.struct(F.col("other").alias("place"), F.col("place").alias("other"))
-    both = F.when(F.col("place") == F.col("other"), F.array(as_is)).otherwise(F.array(as_is, swapped))
-    ordered = shared.select(key, "devices", F.explode(both).alias("pair")).select(
-        key, "devices", "pair.place", "pair.other"
+    return pairs.select(key, "devices", F.explode(F.array(as_is, swapped)).alias("pair")).select(
+        key,
+        "pair.place.place_id",
+        "pair.place.competitor_id",
+        F.col("pair.other.place_id").alias("duplication_place_id"),
+        F.col("pair.other.competitor_id").alias("duplication_competitor_id"),
+        F.col("devices").alias("duplication_count"),
     )
-    itself = F.col("place") == F.col("other")
-    own = F.max(F.when(itself, F.col("devices"))).over(Window.partitionBy(key, "place"))
+
+
+def _own(blocks: DataFrame, key: str) -> DataFrame:
+    """Devices per period and place.
+
+    Every block occurs once without a partner, and only then it counts. The others are weighted
+    with null instead of filtered out: both uses of ``blocks`` then need the very same shuffle
+    and Spark runs it once.
+    """
+    alone = F.when(F.col("partner").isNull(), F.col("devices"))
     return (
-        ordered.withColumn("own_count", own)
-        .where(~itself)
-        .select(
-            key,
-            "place.place_id",
-            "place.competitor_id",
-            F.col("other.place_id").alias("duplication_place_id"),
-            F.col("other.competitor_id").alias("duplication_competitor_id"),
-            F.col("devices").alias("duplication_count"),
-            "own_count",
-        )
+        blocks.select(key, alone.alias("devices"), F.explode("block").alias("place"))
+        .groupBy(key, "place.place_id", "place.competitor_id")
+        .agg(F.sum("devices").alias("own_count"))
     )

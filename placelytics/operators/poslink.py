@@ -23,6 +23,7 @@ ITEM = ["shop_code", "caption", "item_name"]
 
 def pos_sales(pos: DataFrame, shops: DataFrame) -> DataFrame:
     """Sold lines with the place of their shop. Lines without an item name drop out."""
+    schemas.check(pos, schemas.POS, "pos")
     schemas.check(shops, schemas.SHOPS, "shops")
     lines = pos.where(F.col("item_name").isNotNull()).withColumn("shop_code", shop_code(pos, "shop_code"))
     return lines.join(shops.select("shop_code", "place_id", "caption"), "shop_code").select(

@@ -27,7 +27,7 @@ AREA = ["time_category", "prefecture", "city", "block"]
 
 def topic_versions(topics: DataFrame) -> DataFrame:
     """Model versions that the topic table holds."""
-    return topics.select("ver").distinct()
+    return schemas.check(topics, schemas.TOPICS, "topics", ["ver"]).select("ver").distinct()
 
 
 def select_topics(
@@ -50,6 +50,7 @@ def profile_location(
     distinct_devices: bool = False,
 ) -> DataFrame:
     """Visitors per day, place and home or work area that was valid on the day."""
+    schemas.check(device_days, schemas.DEVICE_DAYS, "device_days")
     schemas.check(home_work, schemas.HOME_WORK, "home_work")
     areas = collapse(
         home_work.where(F.col("prefecture").isin(list(prefectures))),
@@ -74,6 +75,7 @@ def profile_topic(
     distinct_devices: bool = False,
 ) -> DataFrame:
     """Visitors per day, place and behaviour topic. Not suppressed unless asked for."""
+    schemas.check(device_days, schemas.DEVICE_DAYS, "device_days")
     counts = (
         device_days.join(select_topics(topics, version, number, pattern), "adid")
         .groupBy(*PLACE, "date", *TOPIC)
@@ -100,6 +102,7 @@ def profile_cohort(
     list drop out. The lists are unrolled before they are collapsed, so an id that recurs with
     many different lists still brings each cohort to the join only once.
     """
+    schemas.check(device_days, schemas.DEVICE_DAYS, "device_days")
     schemas.check(cohorts, schemas.COHORTS, "cohorts")
     unrolled = cohorts.where(F.col("visit_category") == category).withColumn(
         "cohort", F.explode("cohortlist")

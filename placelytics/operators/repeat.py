@@ -23,6 +23,7 @@ DEVICE_AT_PLACE = ["user_id", "place_id", "competitor_id", "adid"]
 
 def visit_history(device_days: DataFrame) -> DataFrame:
     """Previous visit date of the device at the place, and days since; a first visit has 0."""
+    schemas.check(device_days, schemas.TENANT_DEVICE_DAYS, "device_days")
     in_order = Window.partitionBy(*DEVICE_AT_PLACE).orderBy("date")
     before = F.lag("date").over(in_order)
     gap = F.datediff(F.col("date").cast("date"), F.col("before").cast("date"))
@@ -47,6 +48,7 @@ def rolling_visits(
     ``cap`` are not reported. Load ``days`` days before the reporting period and pass its first
     day as ``report_from`` for full counts at its start.
     """
+    schemas.check(device_days, schemas.TENANT_DEVICE_DAYS, "device_days")
     day = F.unix_date(F.col("date").cast("date"))
     first = Window.unboundedPreceding if days is None else -days
     recent = Window.partitionBy(*DEVICE_AT_PLACE).orderBy(day).rangeBetween(first, Window.currentRow)

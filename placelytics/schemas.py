@@ -55,8 +55,11 @@ LINKED = T.StructType(
     ]
 )
 
+DEVICE_DAYS = T.StructType([*_strings("place_id"), _COMPETITOR, *_strings("adid", "date")])
+TENANT_DEVICE_DAYS = T.StructType([*_strings("user_id"), *DEVICE_DAYS.fields])
+
 # Columns whose type the data owner chooses; only their presence is checked.
-_ANY_TYPE = {"age", "gender", "topic_id"}
+_ANY_TYPE = {"age", "gender", "topic_id", "shop_code"}
 
 
 class SchemaError(ValueError):

@@ -114,6 +114,17 @@ def test_copies_are_merged_before_they_meet_the_visits(spark):
     assert rows_of(merged) == [("d1", "x", 50_000)]
 
 
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+def test_overlap_reads_the_visits_once(spark, conf, limit):
+    conf(autoBroadcastJoinThreshold=limit, adaptive__autoBroadcastJoinThreshold=limit)
+    df = QUERIES["overlap_weekly"](spark, SF)
+    df.collect()
+    text = plan(df).split("Initial Plan")[0]
+    # The visits and the configuration made from them; the totals reuse the pairs' shuffle.
+    assert text.count("FileScan") == 2
+    assert "ReusedExchange" in text
+
+
 def test_link_reads_each_input_once_in_the_competitor_report(spark, conf):
     conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
     text = plan(QUERIES["linked_overlap"](spark, SF))
