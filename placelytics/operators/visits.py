@@ -25,11 +25,12 @@ _PARTITION_COPY = {"user_id": "usr", "place_id": "place"}
 def listed(visits: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """Visits whose ``column`` occurs in ``keys``, matched on its partition copy if there is one.
 
+    A copy of another type than the key, such as a folder name read as a number, is not used.
     Spark prunes partitions through a join only when the small side carries a filter. That is
     what the test for blank ids is for; a partition cannot have a blank name anyway.
     """
     copy = _PARTITION_COPY.get(column)
-    if copy not in visits.columns:
+    if copy not in visits.columns or visits.schema[copy].dataType != keys.schema[column].dataType:
         return visits.join(keys.select(column), column, "left_semi")
     names = keys.select(F.col(column).alias(copy)).where(F.length(copy) > 0)
     return visits.join(names, copy, "left_semi")

@@ -35,6 +35,13 @@ def test_place_device_days_take_every_tenant_and_competitor(spark):
     assert rows_of(days, "user_id", "place_id", "competitor_id") == [("X", "A", 3)]
 
 
+def test_folder_names_read_as_numbers_are_not_matched(spark):
+    seen = visits(spark, visit("001"), visit("1"))
+    numbered = seen.withColumn("place", seen["place_id"].cast("int"))
+    days = ops.device_days(numbered, config(spark, ("001", 0)))
+    assert rows_of(days, "place_id") == [("001",)]
+
+
 def test_earliest_start_date_wins_and_duplicates_count_once(spark):
     seen = visits(spark, *[visit(when=f"2024-01-{d}T10:00:00") for d in ("01", "05", "10", "10")])
     places = config(spark, ("A", 0, "2024-01-05"), ("A", 0, "2024-01-10"))
