@@ -81,3 +81,14 @@ def test_entry_is_the_daily_overlap(spark):
     df = contract.entry(spark)
     assert df.columns == contract.queries()["overlap_daily"](spark, "/root/testdata/sf0.001").columns
     assert df.count() == 550
+
+
+@pytest.mark.parametrize("name", ["overlap_monthly", "overlap_weekly", "link_sales_10m", "pos_sales", "visit_gap"])
+def test_the_session_zone_does_not_matter(spark, oracle, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = contract.queries()[name](spark, "/root/testdata/sf0.001")
+        found = sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == oracle("sf0.001", contract.oracle_sql()[name])[1]
