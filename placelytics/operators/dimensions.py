@@ -3,8 +3,8 @@
 Every count here is "matching rows after the join", not distinct devices: a device with two
 rows in the device table counts twice. The device tables are collapsed first, so identical rows
 travel as one row with a number of copies and the counts are sums of copies. With the visits
-distinct on the other side, one device then adds at most one row per result group, however
-often its id is repeated in either table.
+distinct on the other side, a device brings to the join only its distinct rows of either table,
+however often its id is repeated there.
 """
 
 from __future__ import annotations
