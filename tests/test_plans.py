@@ -108,6 +108,31 @@ def test_hot_device_of_a_device_table_is_split(spark, conf):
     assert "skew=true" in plan(found)
 
 
+def test_hot_device_ahead_of_a_second_join_is_split_on_request(spark, conf):
+    conf(**SPLITTING, adaptive__forceOptimizeSkewedJoin="true")
+    interests = spark.range(0, 40_000, 1, 16).select(
+        F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).otherwise("junk").alias("adid"),
+        F.lit("hobby").alias("visit_category"),
+        F.array(F.col("id").cast("string")).alias("cohortlist"),
+        F.lit("2024-01-01").alias("start_date"),
+        F.lit("2024-01-31").alias("end_date"),
+    )
+    models = spark.range(0, 40_000, 1, 4).select(
+        F.when(F.col("id") % 4 == 1, "junk").otherwise(F.col("id").cast("string")).alias("adid"),
+        (F.col("id") % 2).cast("int").alias("topic_id"),
+        F.lit("10").alias("topic_number"),
+        F.lit("preference").alias("pattern"),
+        F.lit("2025-01-01").alias("ver"),
+    )
+    days = ops.device_days(visits(spark, visit(adid="junk"), visit(adid="10")), config(spark, ("A", 0)))
+    found = profiles.profile_cohort(days, interests, models, category="hobby", min_count=None)
+    rows = found.collect()
+    # 36,000 cohorts of the hot id with its one topic, held in 10,000 copies, and one of device 10.
+    assert len(rows) == 36_001
+    assert sorted({r["count"] for r in rows}) == [1, 10_000]
+    assert "skew=true" in plan(found)
+
+
 def test_copies_are_merged_before_they_meet_the_visits(spark):
     copies = spark.range(0, 50_000, 1, 8).select(F.lit("d1").alias("adid"), F.lit("x").alias("city"))
     merged = dimensions.collapse(copies, "adid", "city")
