@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placelytics.llm import decontaminate, exact_dedup, mixing, toxicity
+from placelytics.llm import decontaminate, exact_dedup, mixing, ngram_join, toxicity
 from placelytics.llm.shared import stored
 
 
@@ -23,6 +23,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_exact_duplicates(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of five-word shingle sets of a similarity of 0.8 or more."""
+    return ngram_join.drop_near_duplicates(docs)
+
+
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of ``benchmark``."""
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -36,6 +41,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("exact_dedup", drop_copies),
+    ("ngram_jaccard_join", drop_near_copies),
     ("benchmark_decontamination", drop_leaks),
     ("source_mixing", mix),
 ]

@@ -13,7 +13,9 @@ from placelytics.llm import (
     decontaminate,
     exact_dedup,
     mixing,
+    ngram_join,
     pii,
+    substring,
     toxicity,
     url_filter,
     warc,
@@ -31,6 +33,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.classes(_table(spark, sf_dir, "documents"), size=3, percent=90)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A conversation is a reply tree of one branch: each turn answers the one before."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -71,6 +78,10 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), labels).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     items = F.array_join(F.sort_array("items"), ",")
@@ -99,9 +110,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_ngram_join,
         op2_chat_formatting,
         op3_toxicity,
         op4_url_filters,
+        op5_substring_dedup,
         op6_benchmark_decontamination,
         op7_warc_revisits,
         op8_source_mixing,
@@ -113,6 +126,26 @@ QUERIES: dict[str, Query] = {
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op1_ngram_join": rf"""
+        WITH RECURSIVE doc AS (
+            SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), grams AS (
+            SELECT DISTINCT doc_id, w[i:i + 2] AS g
+            FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM doc WHERE len(w) > 0)
+        ), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+        pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+            FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+        ), link AS (
+            SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * k >= 90 * (x.n + y.n - k)
+        ), reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM doc
+            UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+        )
+        SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(reach.b) AS component_id
+        FROM doc LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.a = doc_id GROUP BY doc_id
+    """,
     "op2_chat_formatting": r"""
         WITH every AS (
             SELECT conv_id, turn, role, text FROM conversations
@@ -133,6 +166,25 @@ ORACLES: dict[str, str] = {
                 AS formatted_chars
         FROM turns GROUP BY conv_id
     """,
+    "op5_substring_dedup": r"""
+        WITH doc AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), win AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 34)) AS i FROM doc WHERE len(w) >= 35)
+        ), again AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(generate_series(i, i + 34)) AS p FROM win SEMI JOIN again USING (g)
+        ), word AS (
+            SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM doc
+        ), left_over AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept
+            FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+            sha256(coalesce(kept, '')) AS kept_sha256
+        FROM doc LEFT JOIN left_over USING (doc_id)
+    """,
     "op6_benchmark_decontamination": rf"""
         WITH doc AS (
             SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w

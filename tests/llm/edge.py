@@ -1,0 +1,54 @@
+"""Rows with nulls, empty and long texts, ties, repeats, and columns named like the operators' own."""
+
+import random
+
+_RNG = random.Random(5)
+VOCABULARY = [f"w{i}" for i in range(400)]
+
+
+def prose(n, rng=_RNG):
+    return " ".join(rng.choice(VOCABULARY) for _ in range(n))
+
+
+LONG = prose(6000)
+BASE = prose(120)
+
+
+def edited(text, places, rng=_RNG):
+    words = text.split()
+    for i in places:
+        words[i] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+#: doc_id, text, source, and columns whose names clash with internal ones.
+ROWS = [
+    (1, BASE, "a", 1, "x", 1.0),
+    (2, BASE.upper(), "a", 2, "x", 1.0),
+    (3, edited(BASE, [60]), "b", 3, None, 2.0),
+    (4, edited(BASE, [10, 60]), "b", 3, "y", 2.0),
+    (5, None, None, None, None, None),
+    (6, "", "a", 0, "", 0.0),
+    (7, " \t\n", "b", 0, "", 0.0),
+    (8, "two words", None, 0, "", 0.0),
+    (9, "Two  words", "c", 0, "", 0.0),
+    (10, LONG, "c", 0, "", 0.0),
+    (11, LONG + " end", "c", 0, "", 0.0),
+    (12, " ".join(["same"] * 90), "d", 0, "", 0.0),
+    (None, BASE, "d", 0, "", 0.0),
+    (None, None, "d", 0, "", 0.0),
+    (13, prose(50) + " " + " ".join(BASE.split()[20:70]) + " " + prose(40), "d", 0, "", 0.0),
+    (13, "other text of a repeated id", "d", 0, "", 0.0),
+    (14, prose(30) + " ünïcode ÄÖ " + prose(30), "e", 0, "", 0.0),
+    (14, "repeated row", "e", 7, "same", 0.0),
+    (14, "repeated row", "e", 7, "same", 0.0),
+]
+SCHEMA = "doc_id long, text string, source string, n long, h string, size double"
+
+
+def documents(spark, rows=ROWS):
+    return spark.createDataFrame(rows, SCHEMA).repartition(4)
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)

@@ -1,0 +1,87 @@
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from placelytics.llm import chat
+
+SCHEMA = "tree long, node long, parent long, role string, text string, score double, at string, branch int"
+
+
+def nodes(spark, rows):
+    return spark.createDataFrame([(*r, "x", 5) for r in rows], SCHEMA).repartition(3)
+
+
+def read(chats):
+    turns = chat.parsed(F.col("text"))
+    rows = chats.select("tree", "branch", turns.alias("turns"), chat.masked(F.col("text"), F.col("loss")).alias("learned")).collect()
+    return {(r.tree, r.branch): ([tuple(t) for t in r.turns], r.learned) for r in rows}
+
+
+def test_best_branches_of_a_tree(spark):
+    rows = [
+        (1, 1, None, "user", "q", 0.0),
+        (1, 2, 1, "assistant", "bad", 0.1),
+        (1, 3, 1, "assistant", "good", 0.9),
+        (1, 4, 3, "user", "thanks", 0.5),
+        (1, 5, 2, "user", "hm", 0.0),
+        (2, 1, None, "system", None, None),
+        (None, 1, 99, "user", "no parent here", 0.0),
+    ]
+    found = read(chat.reply_chats(nodes(spark, rows), per_tree=2))
+    assert found[1, 1] == ([("user", "q"), ("assistant", "good"), ("user", "thanks")], "good")
+    assert found[1, 2] == ([("user", "q"), ("assistant", "bad"), ("user", "hm")], "bad")
+    assert found[2, 1] == ([("system", "")], "")
+    assert found[None, 1] == ([("user", "no parent here")], "")
+    assert len(found) == 4
+
+
+def test_cycles_repeats_and_null_nodes(spark):
+    rows = [
+        (1, 1, 2, "user", "a", 0.0),
+        (1, 2, 1, "user", "b", 0.0),
+        (1, 3, 2, "user", "below the cycle", 0.0),
+        (2, 1, None, "user", "kept", 2.0),
+        (2, 1, None, "user", "lost", 1.0),
+        (2, 2, 1, None, "no role", 1.0),
+        (2, 2, 1, None, "no role", 1.0),
+        (2, None, 1, "user", "no node", 1.0),
+    ]
+    assert read(chat.reply_chats(nodes(spark, rows))) == {(2, 1): ([("user", "kept"), (None, "no role")], "")}
+
+
+def test_long_chain_takes_logarithmic_rounds(spark):
+    rows = [(1, i, i - 1 if i else None, "assistant" if i % 2 else "user", f"t{i}", 0.0) for i in range(300)]
+    table = nodes(spark, rows)
+    assert len(chat.ancestors(table.select("tree", "node", "parent", "score"))) == 10
+    turns, learned = read(chat.reply_chats(table))[1, 1]
+    assert [t for _, t in turns] == [f"t{i}" for i in range(300)]
+    assert learned == "".join(f"t{i}" for i in range(1, 300, 2))
+
+
+def test_round_trip_of_control_strings(spark):
+    parts = ["</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE]", "[/ROLE]", "[NULL]", "[END]", "\\", "<", "[", " ", "\n", "é", "😀", "a", "/s>", "SYS>>", "INST]"]
+    rng = random.Random(2)
+    rows, expected = [], {}
+    for tree in range(60):
+        turns = []
+        for node in range(rng.randrange(1, 6)):
+            role = rng.choice(["user", "assistant", "system", "tool", "</s>", "[END] x", None])
+            text = "".join(rng.choice(parts) for _ in range(rng.randrange(0, 12)))
+            turns.append((role, text))
+            rows.append((tree, node, node - 1 if node else None, role, text, 0.0))
+        expected[tree, 1] = (turns, "".join(t for r, t in turns if r == "assistant"))
+    assert read(chat.reply_chats(nodes(spark, rows))) == expected
+
+
+def test_empty_table(spark):
+    assert chat.reply_chats(nodes(spark, [(1, 1, None, "user", "x", 0.0)]).limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("text", ["plain [a] <b> \\[INST", "</s>[INST] ok [/INST]", "<\\/s>"])
+def test_escape_is_reversible_and_leaves_other_text(spark, text):
+    row = spark.createDataFrame([(text,)], "t string").select(chat.escaped(F.col("t")).alias("e"), chat.unescaped(chat.escaped(F.col("t"))).alias("u")).first()
+    assert row.u == text
+    assert not any(mark.strip() in row.e for pair in chat.MARKS.values() for mark in pair)
+    assert hashlib.sha256(row.u.encode()).digest() == hashlib.sha256(text.encode()).digest()

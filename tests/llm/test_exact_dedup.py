@@ -1,0 +1,56 @@
+import hashlib
+from collections import defaultdict
+
+from placelytics.llm import exact_dedup
+from tests.llm import edge
+
+
+def normal(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def brute(rows):
+    groups = defaultdict(list)
+    for r in rows:
+        groups[normal(r[1])].append(r[0])
+    out = []
+    for text, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        best = max(known) if known else None
+        kept = False
+        for i in ids:
+            out.append((i, best, len(ids), i == best and not kept, hashlib.sha256(text.encode()).hexdigest()))
+            kept |= i == best
+    return out
+
+
+def test_equals_brute_force_with_nulls_ties_and_repeats(spark):
+    found = [tuple(r) for r in exact_dedup.exact_duplicates(edge.documents(spark)).collect()]
+    assert sorted(found, key=str) == sorted(brute(edge.ROWS), key=str)
+
+
+def test_smallest_can_stay_and_null_ids_lose(spark):
+    docs = edge.documents(spark, [(i, "t", *([None] * 4)) for i in (None, 4, 2, 9)])
+    assert {r.keep_id for r in exact_dedup.exact_duplicates(docs, keep="smallest").collect()} == {2}
+
+
+def test_empty_table(spark):
+    assert exact_dedup.exact_duplicates(edge.empty(spark)).collect() == []
+    assert exact_dedup.drop_exact_duplicates(edge.empty(spark)).collect() == []
+
+
+def test_many_runs_merge_in_rounds(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('t', id % 7) AS text").repartition(37)
+    rows = exact_dedup.exact_duplicates(docs).collect()
+    assert len(rows) == 4000
+    assert {r.keep_id for r in rows if r.kept} == set(range(3993, 4000))
+    assert sum(r.kept for r in rows) == 7
+
+
+def test_dropping_keeps_one_row_a_text_and_all_columns(spark):
+    docs = edge.documents(spark)
+    kept = exact_dedup.drop_exact_duplicates(docs)
+    assert kept.schema == docs.schema
+    rows = kept.collect()
+    assert len(rows) == len({normal(r.text) for r in rows}) == len({normal(r[1]) for r in edge.ROWS})
+    assert {r.doc_id for r in rows if r.text and normal(r.text) == edge.BASE} == {2}

@@ -1,0 +1,39 @@
+"""Every query over whole test tables, against DuckDB where SQL can express it."""
+
+import os
+
+import duckdb
+import pytest
+
+from placelytics.llm import queries
+
+FOLDER = "/root/testdata/sf0.001"
+TABLES = ["documents", "pages", "benchmark", "labels", "conversations"]
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    return connection
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_equals_sql(spark, duck, name):
+    ours = queries.QUERIES[name](spark, FOLDER)
+    columns = sorted(ours.columns)
+    sql = duck.sql(queries.ORACLES[name])
+    assert sorted(sql.columns) == columns
+    expected = sql.project(", ".join(columns)).fetchall()
+    assert sorted(map(str, map(tuple, ours.select(*columns).collect()))) == sorted(map(str, expected))
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
+def test_one_row_of_each_input_row(spark, name):
+    table, key = ("pages", "page_id") if "url" in name else ("documents", "doc_id")
+    rows = queries.QUERIES[name](spark, FOLDER).select(key).collect()
+    ids = spark.read.parquet(f"{FOLDER}/{table}.parquet").select(key).collect()
+    assert sorted(rows) == sorted(ids)

@@ -1,0 +1,74 @@
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+
+from placelytics.llm import substring
+from tests.llm import edge
+
+
+def split(text):
+    return (text or "").encode().split()
+
+
+def brute(rows, window):
+    texts = [split(r[1]) for r in rows]
+    seen = Counter(tuple(t[i : i + window]) for t in texts for i in range(len(t) - window + 1))
+    out = []
+    for r, t in zip(rows, texts, strict=True):
+        gone = set()
+        for i in range(len(t) - window + 1):
+            if seen[tuple(t[i : i + window])] > 1:
+                gone |= set(range(i, i + window))
+        kept = b" ".join(w for i, w in enumerate(t) if i not in gone)
+        out.append((r[0], len(t), len(gone), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def found(spark, rows, **options):
+    out = substring.remove_repeats(edge.documents(spark, rows), **options).drop("kept")
+    return sorted((tuple(r) for r in out.collect()), key=str)
+
+
+def test_edges(spark):
+    assert found(spark, edge.ROWS) == brute(edge.ROWS, 35)
+
+
+@pytest.mark.parametrize(("seed", "window", "gram"), [(1, 35, 8), (2, 12, 5), (3, 6, 1)])
+def test_shared_passages_equal_brute_force(spark, seed, window, gram):
+    rng = random.Random(seed)
+    passages = [edge.prose(rng.choice([window - 1, window, window + 1, 50, 90]), rng) for _ in range(8)]
+    rows = []
+    for i in range(80):
+        parts = []
+        for _ in range(rng.choice([1, 2, 4])):
+            words = rng.choice(passages).split()
+            a = rng.randrange(len(words) // 2)
+            parts += [edge.prose(rng.choice([0, 3, 40]), rng), " ".join(words[a:] if rng.random() < 0.5 else words)]
+        rows.append((i, " ".join(parts), None, None, None, None))
+    assert found(spark, rows, window=window, gram=gram) == brute(rows, window)
+
+
+def test_full_bitmap_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(substring, "BITS", 64)
+    assert found(spark, edge.ROWS) == brute(edge.ROWS, 35)
+
+
+def test_automaton_statistics():
+    rng = random.Random(4)
+    for _ in range(50):
+        passages = [[rng.choice([b"a", b"b"]) for _ in range(rng.randrange(1, 9))] for _ in range(3)]
+        text = [rng.choice([b"a", b"b", b"c"]) for _ in range(20)]
+        runs = {tuple(p[i:j]) for p in passages for i in range(len(p)) for j in range(i + 1, len(p) + 1)}
+        expected = set()
+        for i in range(len(text)):
+            for j in range(i + 3, len(text) + 1):
+                if tuple(text[i:j]) in runs:
+                    expected |= set(range(i, j))
+        covered = substring.SuffixAutomaton(passages).covered(text, 3)
+        assert set(covered.nonzero()[0]) == expected
+
+
+def test_empty_table(spark):
+    assert substring.remove_repeats(edge.empty(spark)).collect() == []

@@ -1,0 +1,105 @@
+import random
+
+import pytest
+
+from placelytics.llm import url_filter
+
+PAGES = "page_id long, url string, host string, rule string, n int"
+
+
+def pages(spark, urls):
+    return spark.createDataFrame([(i, u, "x", "y", 1) for i, u in enumerate(urls)], PAGES)
+
+
+def labels(spark, rows):
+    return spark.createDataFrame(rows, "key long, bad boolean")
+
+
+def judged(spark, urls, known=(), **options):
+    rows = url_filter.judge(pages(spark, urls), labels(spark, list(known)), **options).orderBy("page_id").collect()
+    return [(r.host, r.path, r.rule, r.verdict) for r in rows]
+
+
+def test_parts_and_rules(spark):
+    urls = [
+        "http://WWW.Example.COM/en/1?x=/#y", "https://m.example.com/en/", "http://notexample.com/en/1", "http://a.net/es/1", "net/es/1",
+        None, "", "http://", "ftp://u@host.org:80?q", "x://a.com", "http://a.com://b.net/fr/", "http://www.example.com/fr/", "http://é.NET/fr/",
+    ]
+    assert judged(spark, urls) == [
+        ("www.example.com", "/en/1", "www.example.com/en/", "allow"),
+        ("m.example.com", "/en/", "example.com/en/", "block"),
+        ("notexample.com", "/en/1", "com/", "allow"),
+        ("a.net", "/es/1", "net/es/", "block"),
+        ("", "", None, "allow"),
+        ("", "", None, "allow"),
+        ("", "", None, "allow"),
+        ("", "", None, "allow"),
+        ("u@host.org:80", "", None, "allow"),
+        ("a.com", "", None, "allow"),
+        ("a.com:", "//b.net/fr/", None, "allow"),
+        ("www.example.com", "/fr/", "com/", "allow"),
+        ("é.net", "/fr/", "net/fr/", "block"),
+    ]
+
+
+def test_reputation_needs_evidence(spark):
+    urls = [f"http://bad.site.org/en/{i}" for i in range(200)] + [f"http://new.other.org/en/{i}" for i in range(1000, 1002)]
+    urls += [f"http://h{i % 9}.good.org/en/{2000 + i}" for i in range(300)]
+    known = [(i, i % 10 != 0) for i in range(200)] + [(1000, True)] + [(2000 + i, i % 50 == 0) for i in range(300)] + [(None, True), (5, None)]
+    rows = judged(spark, urls, known)
+    verdict = {h: v for h, _, _, v in rows}
+    assert verdict["bad.site.org"] == "block"
+    assert verdict["new.other.org"] == "allow"
+    assert all(verdict[f"h{i}.good.org"] == "allow" for i in range(9))
+
+
+def test_equals_plain_computation(spark):
+    rng = random.Random(1)
+    hosts = [f"h{i}.d{i % 4}.{'org' if i % 3 else 'co.uk'}" for i in range(12)] + ["10.0.0.1"]
+    bad_share = {h: rng.random() for h in hosts}
+    urls, known = [], []
+    for i in range(900):
+        h = rng.choice(hosts)
+        urls.append(f"http://{h}/x/{i}.html")
+        if rng.random() < 0.5:
+            known.append((i, rng.random() < bad_share[h]))
+    found = {r.host: (r.mean, r.bound) for r in url_filter.judge(pages(spark, urls), labels(spark, known)).collect()}
+
+    def names(h):
+        if h == "10.0.0.1":
+            return ("",), ("", h), ("", h, h)
+        parts = h.split(".")
+        k = 2 if h.endswith("co.uk") else 1
+        s, d = ".".join(parts[-k:]), ".".join(parts[-k - 1 :])
+        return (s,), (s, d), (s, d, h)
+
+    outcome = dict(known)
+    total, wrong = len(known), sum(b for _, b in known)
+    mean = {(): (wrong + 1) / (total + 2)}
+    bounds = {}
+    for level in range(3):
+        n, k = {}, {}
+        for i, u in enumerate(urls):
+            key = names(u.split("/")[2])[level]
+            n[key] = n.get(key, 0) + (i in outcome)
+            k[key] = k.get(key, 0) + outcome.get(i, False)
+        prior = {key: mean[key[:level]] for key in n}
+        v = {key: prior[key] * (1 - prior[key]) for key in n}
+        seen, chance = sum((k[x] - n[x] * prior[x]) ** 2 for x in n), sum(n[x] * v[x] for x in n)
+        pairs = sum(n[x] * (n[x] - 1) * v[x] for x in n)
+        extra = (seen - chance) / pairs if pairs else 0
+        low, high = url_filter.STRENGTH
+        m = min(max(1 / extra - 1, low), high) if extra > 0 else high
+        for x in n:
+            mean[x] = (k[x] + m * prior[x]) / (n[x] + m)
+            bounds[x] = mean[x] - url_filter.Z * (mean[x] * (1 - mean[x]) / (n[x] + m + 1)) ** 0.5
+    assert set(found) == set(hosts)
+    for h, (a, b) in found.items():
+        assert (a, b) == (pytest.approx(mean[names(h)[2]]), pytest.approx(bounds[names(h)[2]]))
+
+
+def test_ties_block_and_empty_table(spark):
+    rules = [("allow", "a.org/x/"), ("block", "org/xxx/")]
+    assert judged(spark, ["http://a.org/x/", "http://org/xxx/"], rules=rules)[0][3] == "allow"
+    assert judged(spark, ["http://a.org/x"], rules=[("allow", "org/x"), ("block", "org/x")])[0][3] == "block"
+    assert url_filter.judge(pages(spark, ["u"]).limit(0), labels(spark, [])).collect() == []

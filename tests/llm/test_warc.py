@@ -1,0 +1,69 @@
+import base64
+import hashlib
+
+import pytest
+
+from placelytics.llm import warc
+
+PAGES = "page_id long, url string, html string, payload string, digest string"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "p", "d") for r in rows], PAGES).repartition(3)
+
+
+ROWS = [
+    (1, "http://a/1", "<p>é</p>"),
+    (2, "http://a/2\r\nX: y", "<p>é</p>"),
+    (3, None, "other\r\n\r\nWARC/1.1\r\nbody\r\n\r\n"),
+    (4, "http://a/4", None),
+    (5, "http://a/5", ""),
+    (6, "http://a/6", "x" * 300_000),
+    (7, "http://a/7", "x" * 300_000),
+    (None, "http://a/n", "<p>é</p>"),
+    (8, "http://a/8", "repeated"),
+    (8, "http://a/8", "repeated"),
+]
+
+
+def brute(rows, least=0):
+    out = []
+    for i, _, html in rows:
+        body = (html or "").encode()
+        same = [x[0] for x in rows if (x[2] or "").encode() == body and x[0] is not None]
+        digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
+        if len(body) >= least and i != max(same):
+            out.append((i, len(body), digest, "revisit", max(same)))
+        else:
+            out.append((i, len(body), digest, "response", None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("least", [0, 9])
+def test_round_trip(spark, tmp_path, least):
+    folder = str(tmp_path / "archives")
+    warc.write_archives(pages(spark, ROWS), folder, min_bytes=least)
+    records = warc.read_archives(spark, folder)
+    assert sorted(map(tuple, warc.resolve_revisits(records).collect()), key=str) == brute(ROWS, least)
+    bodies = {bytes(r.payload) for r in records.where("record_type = 'response'").collect()}
+    assert bodies == {(h or "").encode() for _, _, h in ROWS}
+
+
+def test_many_archives(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 500)
+    rows = [(i, f"http://a/{i}", f"text {i % 40} " * 9) for i in range(300)]
+    folder = str(tmp_path / "archives")
+    warc.write_archives(pages(spark, rows), folder)
+    assert sorted(map(tuple, warc.resolve_revisits(warc.read_archives(spark, folder)).collect()), key=str) == brute(rows)
+
+
+def test_broken_archive_is_refused():
+    with pytest.raises(ValueError, match="no WARC record"):
+        list(warc._records(b"HTTP\r\n\r\n"))
+    with pytest.raises(ValueError, match="another length"):
+        list(warc._records(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nbody\r\n\r\n"))
+
+
+def test_empty_table(spark, tmp_path):
+    warc.write_archives(pages(spark, ROWS).limit(0), str(tmp_path / "none"))
+    assert warc.resolve_revisits(warc.read_archives(spark, str(tmp_path / "none"))).collect() == []
