@@ -75,6 +75,39 @@ def on_days(
     return df
 
 
+def bounds(
+    start: str | None = None, end: str | None = None, days: Iterable[str] | None = None
+) -> tuple[str | None, str | None]:
+    """First and last day that :func:`on_days` can let through; ``None`` is no bound."""
+    chosen = sorted(set(days)) if days is not None else []
+    firsts = [day for day in (start, *chosen[:1]) if day is not None]
+    lasts = [day for day in (end, *chosen[-1:]) if day is not None]
+    return max(firsts, default=None), min(lasts, default=None)
+
+
+def whole_periods(period: str, start: str, end: str) -> tuple[str, str]:
+    """First and last day of the days, Sunday weeks or months that ``start`` to ``end`` touches."""
+    first, last = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+    if period == "week":
+        first -= dt.timedelta(days=first.isoweekday() % 7)
+        last += dt.timedelta(days=6 - last.isoweekday() % 7)
+    elif period == "month":
+        first = first.replace(day=1)
+        last = (last.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
+    elif period != "day":
+        raise ValueError(f"period must be one of {sorted(PERIOD_COLUMNS)}, not {period!r}")
+    return first.isoformat(), last.isoformat()
+
+
+def month_starts(start: str, end: str) -> list[str]:
+    """First days of the months from that of ``start`` to that of ``end``."""
+    months, month = [], dt.date.fromisoformat(start).replace(day=1)
+    while month.isoformat() <= end:
+        months.append(month.isoformat())
+        month = (month + dt.timedelta(days=32)).replace(day=1)
+    return months
+
+
 def micros(df: DataFrame, column: str) -> Column:
     """Microseconds since 1970 of a timestamp column.
 

@@ -1,6 +1,6 @@
 """Who the linked buyers are, and which competitors they also visit.
 
-``by`` names the sale columns to count by. Leaving ``item_name`` out gives the older reports
+Thresholds come as a table per shop or as one number for all. ``by`` names the sale columns to count by. Leaving ``item_name`` out gives the older reports
 per shop; pass a ``linked`` that is distinct without it in that case.
 """
 
@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placelytics import schemas
-from placelytics.functions.time import on_days
+from placelytics.functions.time import month_start, on_days
 from placelytics.operators.dimensions import collapse, counted, snapshot
 from placelytics.operators.profiles import AREA, TOPIC, TOPIC_NUMBER, TOPIC_VERSION, select_topics
-from placelytics.operators.suppress import suppress_by_shop
-from placelytics.operators.visits import OWN_STORE
+from placelytics.operators.suppress import suppress, suppress_by_shop
+from placelytics.operators.visits import OWN_STORE, listed
 
 SALE = ("caption", "shop_code", "item_name")
 
@@ -24,35 +24,42 @@ SALE = ("caption", "shop_code", "item_name")
 def linked_age_gender(
     linked: DataFrame,
     age_gender: DataFrame,
-    month: str,
-    min_counts: DataFrame,
+    month: str | Sequence[str],
+    min_counts: DataFrame | int,
     *,
     by: Sequence[str] = SALE,
 ) -> DataFrame:
-    """Buyers per day, shop, item, age and gender, from the snapshot of ``month``."""
+    """Buyers per day, shop, item, age and gender, from the snapshot of ``month``.
+
+    With several months, given by their first days, a sale takes the snapshot of its own month; sales
+    of other months have none.
+    """
     schemas.check(age_gender, schemas.AGE_GENDER, "age_gender")
-    people = collapse(snapshot(age_gender, month), "adid", "age", "gender")
-    return _buyers(linked, people, ["user_id", "place_id", "date", *by, "age", "gender"], min_counts)
+    group = ["user_id", "place_id", "date", *by, "age", "gender"]
+    return _snapshot_buyers(linked, age_gender, ["age", "gender"], month, group, min_counts)
 
 
 def linked_location(
     linked: DataFrame,
     home_work: DataFrame,
-    month: str,
-    min_counts: DataFrame,
+    month: str | Sequence[str],
+    min_counts: DataFrame | int,
     *,
     by: Sequence[str] = SALE,
 ) -> DataFrame:
-    """Buyers per day, shop, item and home or work area, from the snapshot of ``month``."""
+    """Buyers per day, shop, item and home or work area, from the snapshot of ``month``.
+
+    Several months work as in :func:`linked_age_gender`.
+    """
     schemas.check(home_work, schemas.HOME_WORK, "home_work")
-    areas = collapse(snapshot(home_work, month), "adid", *AREA)
-    return _buyers(linked, areas, ["user_id", "place_id", "date", *by, *AREA], min_counts)
+    group = ["user_id", "place_id", "date", *by, *AREA]
+    return _snapshot_buyers(linked, home_work, AREA, month, group, min_counts)
 
 
 def linked_topic(
     linked: DataFrame,
     topics: DataFrame,
-    min_counts: DataFrame,
+    min_counts: DataFrame | int,
     *,
     version: str = TOPIC_VERSION,
     number: str = TOPIC_NUMBER,
@@ -63,11 +70,37 @@ def linked_topic(
     return _buyers(linked, select_topics(topics, version, number), group, min_counts)
 
 
+def _snapshot_buyers(
+    linked: DataFrame,
+    dimension: DataFrame,
+    columns: Sequence[str],
+    month: str | Sequence[str],
+    group: Sequence[str],
+    min_counts: DataFrame | int,
+) -> DataFrame:
+    if isinstance(month, str):
+        return _buyers(linked, collapse(snapshot(dimension, month), "adid", *columns), group, min_counts)
+    taken = dimension.where(F.col("start_date").isin(sorted(set(month))))
+    snapshots = collapse(taken, "adid", "start_date", *columns)
+    dated = linked.withColumn("start_date", month_start(F.col("date")))
+    return _buyers(dated, snapshots, group, min_counts, ["adid", "start_date"])
+
+
 def _buyers(
-    linked: DataFrame, dimension: DataFrame, group: Sequence[str], min_counts: DataFrame
+    linked: DataFrame,
+    dimension: DataFrame,
+    group: Sequence[str],
+    min_counts: DataFrame | int,
+    on: Sequence[str] = ("adid",),
 ) -> DataFrame:
     schemas.check(linked, schemas.LINKED, "linked", ["adid", *set(group) & set(linked.columns)])
-    counts = linked.join(dimension, "adid").groupBy(*group).agg(counted())
+    counts = linked.join(dimension, list(on)).groupBy(*group).agg(counted())
+    return _suppressed(counts, min_counts)
+
+
+def _suppressed(counts: DataFrame, min_counts: DataFrame | int) -> DataFrame:
+    if isinstance(min_counts, int):
+        return suppress(counts, min_counts)
     return suppress_by_shop(counts, min_counts)
 
 
@@ -86,7 +119,8 @@ def linked_overlap(
     Contacts are counted one by one, so ``count`` can exceed ``own_count``. They are summed per
     device, day and competitor before they meet the linked sales, and each linked sale then
     yields one row for itself and one per competitor. Both counts come out of that one pass:
-    ``linked`` is the costliest input and is read once.
+    ``linked`` is the costliest input and is read once. Shops without a threshold report nothing, so
+    contacts at other places than those of ``min_counts`` are not read.
     """
     schemas.check(linked, schemas.LINKED, "linked")
     schemas.check(visits, schemas.VISITS, "visits", ["user_id", "place_id", "competitor_id", "adid", "date"])
@@ -94,7 +128,7 @@ def linked_overlap(
     group = ["user_id", "place_id", "competitor_id", "date", *by]
     rival = F.col("competitor_id").cast("int").alias("rival")
     rivals = (
-        on_days(visits, start, end, days)
+        listed(on_days(visits, start, end, days), min_counts, "place_id")
         .where((F.col("competitor_id") != OWN_STORE) & F.col("adid").isNotNull())
         .groupBy(*device_day, rival)
         .agg(F.count(F.lit(1)).alias("contacts"))

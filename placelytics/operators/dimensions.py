@@ -27,6 +27,18 @@ def valid_on(visits: DataFrame, dimension: DataFrame) -> DataFrame:
     return visits.join(dimension, "adid").where(in_force)
 
 
+def valid_between(dimension: DataFrame, first: str | None, last: str | None) -> DataFrame:
+    """Rows valid on some day from ``first`` to ``last``, both included; ``None`` is no bound.
+
+    Plain comparisons with literals, so a run of a few days reads only their rows of a device table.
+    """
+    if last is not None:
+        dimension = dimension.where(F.col("start_date") <= last)
+    if first is not None:
+        dimension = dimension.where(F.col("end_date") >= first)
+    return dimension
+
+
 def snapshot(dimension: DataFrame, start_date: str) -> DataFrame:
     """Rows of the one snapshot taken on ``start_date``."""
     return dimension.where(F.col("start_date") == start_date)

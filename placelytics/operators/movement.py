@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placelytics import schemas
-from placelytics.functions.time import month_start
-from placelytics.operators.dimensions import collapse, counted, valid_on
+from placelytics.functions.time import bounds, month_start, month_starts, on_days
+from placelytics.operators.dimensions import collapse, counted, valid_between, valid_on
 from placelytics.operators.profiles import PREFECTURES
 from placelytics.operators.suppress import suppress
 from placelytics.operators.visits import PLACE
@@ -26,9 +26,14 @@ def covisited_spots(
     grain: str = "month",
     prefectures: Iterable[str] = PREFECTURES,
     min_count: int | None = None,
+    start: str | None = None,
+    end: str | None = None,
+    days: Iterable[str] | None = None,
 ) -> DataFrame:
     """Visits of a place's visitors to other spots of the allowed categories.
 
+    ``start``, ``end`` and ``days`` limit the days, and with them the rows read of ``device_spots``.
+
     ``device_days`` comes from :func:`tenant_device_days`. With ``grain="month"`` the counts are
     device-days per spot and spot period: a device on three days at the place counts three
     times. With ``grain="day"`` only the spot rows of the visit's own month apply and the counts
@@ -41,6 +46,11 @@ def covisited_spots(
     schemas.check(catalog, schemas.SPOT_CATALOG, "spot_catalog")
     schemas.check(categories, schemas.CATEGORIES, "categories")
     areas = F.col("prefecture").isin(list(prefectures))
+    device_days = on_days(device_days, start, end, days)
+    first, last = bounds(start, end, days)
+    device_spots = valid_between(device_spots, first, last)
+    if grain == "day" and first is not None and last is not None:
+        device_spots = device_spots.where(F.col("start_date").isin(month_starts(first, last)))
     allowed = (
         catalog.where(areas)
         .join(categories, "cohort_caption", "left_semi")

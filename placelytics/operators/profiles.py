@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placelytics import schemas
-from placelytics.operators.dimensions import COPIES, collapse, counted, valid_on
+from placelytics.functions.time import bounds, on_days
+from placelytics.operators.dimensions import COPIES, collapse, counted, valid_between, valid_on
 from placelytics.operators.suppress import suppress
 from placelytics.operators.visits import PLACE
 
@@ -48,12 +49,20 @@ def profile_location(
     prefectures: Iterable[str] = PREFECTURES,
     min_count: int | None = LOCATION_MIN_COUNT,
     distinct_devices: bool = False,
+    start: str | None = None,
+    end: str | None = None,
+    days: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Visitors per day, place and home or work area that was valid on the day."""
+    """Visitors per day, place and home or work area that was valid on the day.
+
+    ``start``, ``end`` and ``days`` limit the days, and with them the rows read of ``home_work``.
+    """
     schemas.check(device_days, schemas.DEVICE_DAYS, "device_days")
     schemas.check(home_work, schemas.HOME_WORK, "home_work")
+    device_days = on_days(device_days, start, end, days)
+    in_force = valid_between(home_work, *bounds(start, end, days))
     areas = collapse(
-        home_work.where(F.col("prefecture").isin(list(prefectures))),
+        in_force.where(F.col("prefecture").isin(list(prefectures))),
         *["adid", *AREA, "start_date", "end_date"],
     )
     counts = (
@@ -95,16 +104,23 @@ def profile_cohort(
     pattern: str | None = TOPIC_PATTERN,
     min_count: int | None = COHORT_MIN_COUNT,
     distinct_devices: bool = False,
+    start: str | None = None,
+    end: str | None = None,
+    days: Iterable[str] | None = None,
 ) -> DataFrame:
     """Visitors per day, place, interest cohort and topic.
 
+    ``start``, ``end`` and ``days`` limit the days, and with them the rows read of ``cohorts``.
+
     Each device counts once per cohort and topic row. Devices with an empty or missing cohort
     list drop out. The lists are unrolled before they are collapsed, so an id that recurs with
     many different lists still brings each cohort to the join only once.
     """
     schemas.check(device_days, schemas.DEVICE_DAYS, "device_days")
     schemas.check(cohorts, schemas.COHORTS, "cohorts")
-    unrolled = cohorts.where(F.col("visit_category") == category).withColumn(
+    device_days = on_days(device_days, start, end, days)
+    in_force = valid_between(cohorts, *bounds(start, end, days))
+    unrolled = in_force.where(F.col("visit_category") == category).withColumn(
         "cohort", F.explode("cohortlist")
     )
     interests = collapse(unrolled, "adid", "visit_category", "cohort", "start_date", "end_date")

@@ -1,7 +1,8 @@
 """Deduplicated visits: device-days and device-periods.
 
-Place lists come in as DataFrames and are joined, never collected. The lists are small next to
-the visits, so Spark broadcasts them as long as their size allows it; no hint forces that.
+Place lists come in as DataFrames and are joined, never collected. A list is reduced to its distinct
+keys and counted first: up to ``LISTED_KEYS`` keys it is broadcast, so that a list without a size
+estimate never makes Spark shuffle all visits by place; a longer one is joined as Spark chooses.
 """
 
 from __future__ import annotations
@@ -16,12 +17,20 @@ from placelytics.functions.time import PERIOD_COLUMNS, on_days, with_period
 from placelytics.operators.suppress import suppress
 
 PLACE = ["place_id", "competitor_id"]
+
+# Most keys of a list that is broadcast: about 10 MB of ids.
+LISTED_KEYS = 100_000
 OWN_STORE = 0
 
 # Partition columns of a visit table that repeat a key; filtering on them skips whole folders.
 _PARTITION_COPY = {"user_id": "usr", "place_id": "place"}
 
 
+def small_list(keys: DataFrame) -> DataFrame:
+    """``keys``, distinct rows of a place list, to be broadcast if there are few enough of them."""
+    return F.broadcast(keys) if keys.limit(LISTED_KEYS + 1).count() <= LISTED_KEYS else keys
+
+
 def listed(visits: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """Visits whose ``column`` occurs in ``keys``, matched on its partition copy if there is one.
 
@@ -31,9 +40,9 @@ def listed(visits: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """
     copy = _PARTITION_COPY.get(column)
     if copy not in visits.columns or visits.schema[copy].dataType != keys.schema[column].dataType:
-        return visits.join(keys.select(column), column, "left_semi")
+        return visits.join(small_list(keys.select(column).distinct()), column, "left_semi")
     names = keys.select(F.col(column).alias(copy)).where(F.length(copy) > 0)
-    return visits.join(names, copy, "left_semi")
+    return visits.join(small_list(names.distinct()), copy, "left_semi")
 
 
 def device_days(
@@ -59,7 +68,7 @@ def device_days(
 
 def configured_only(device_days: DataFrame, config: DataFrame) -> DataFrame:
     """Device-days whose (place, competitor) is itself configured."""
-    return device_days.join(config.select(*PLACE), PLACE, "left_semi")
+    return device_days.join(small_list(config.select(*PLACE).distinct()), PLACE, "left_semi")
 
 
 def tenant_device_days(
@@ -100,11 +109,17 @@ def place_device_days(
     return found.select("user_id", *PLACE, "adid", "date").dropDuplicates()
 
 
-def _monitored(visits: DataFrame, config: DataFrame, end: str | None) -> DataFrame:
+def _monitored(
+    visits: DataFrame,
+    config: DataFrame,
+    start: str | None,
+    end: str | None,
+    days: Iterable[str] | None,
+) -> DataFrame:
     schemas.check(visits, schemas.VISITS, "visits", ["adid", "date", "datetime", *PLACE])
     schemas.check(config, schemas.PLACE_CONFIG_FROM, "place_config", [*PLACE, "start_date"])
-    opened = config.groupBy(*PLACE).agg(F.min("start_date").alias("start_date"))
-    seen = on_days(visits, end=end)
+    opened = small_list(config.groupBy(*PLACE).agg(F.min("start_date").alias("start_date")))
+    seen = on_days(visits, start, end, days)
     if _PARTITION_COPY["place_id"] in visits.columns:
         seen = listed(seen, config, "place_id")
     return seen.join(opened, PLACE).where(F.col("date") >= F.col("start_date"))
@@ -115,23 +130,33 @@ def monitored_visits(
     config: DataFrame,
     period: str,
     *,
+    start: str | None = None,
     end: str | None = None,
+    days: Iterable[str] | None = None,
     week_start: str = "sunday",
 ) -> DataFrame:
     """Visits at configured (place, competitor) pairs from each pair's start date to ``end``.
 
-    Returns place, competitor, device and period, one row per contact. Duplicate configuration
+    ``start`` and ``days`` limit the days further; a period that is only partly read counts only
+    what is read. Returns place, competitor, device and period, one row per contact. Duplicate configuration
     rows count once and the earliest start date wins.
     """
-    return in_period(_monitored(visits, config, end), period, week_start)
+    return in_period(_monitored(visits, config, start, end, days), period, week_start)
 
 
-def monitored_days(visits: DataFrame, config: DataFrame, *, end: str | None = None) -> DataFrame:
+def monitored_days(
+    visits: DataFrame,
+    config: DataFrame,
+    *,
+    start: str | None = None,
+    end: str | None = None,
+    days: Iterable[str] | None = None,
+) -> DataFrame:
     """Distinct device-days of :func:`monitored_visits` with the month of their contacts.
 
     One pass over the visits from which :func:`in_period` gives days, weeks and months alike.
     """
-    seen = with_period(_monitored(visits, config, end), "month")
+    seen = with_period(_monitored(visits, config, start, end, days), "month")
     return seen.select(*PLACE, "adid", "date", PERIOD_COLUMNS["month"]).dropDuplicates()
 
 
@@ -145,11 +170,14 @@ def device_periods(
     config: DataFrame,
     period: str,
     *,
+    start: str | None = None,
     end: str | None = None,
+    days: Iterable[str] | None = None,
     week_start: str = "sunday",
 ) -> DataFrame:
     """Distinct (place, competitor, device, period) of :func:`monitored_visits`."""
-    return monitored_visits(visits, config, period, end=end, week_start=week_start).dropDuplicates()
+    span = {"start": start, "end": end, "days": days, "week_start": week_start}
+    return monitored_visits(visits, config, period, **span).dropDuplicates()
 
 
 def unique_devices(periods: DataFrame, period: str, *, min_count: int | None = None) -> DataFrame:

@@ -2,31 +2,65 @@
 
 Each job takes its inputs as DataFrames and writes under ``out``, a folder all executors share.
 Days and places are ranges and lists of one job, not runs of their own. The visits are read
-once per job; what several reports need of them is kept in a reliable checkpoint. Every job
-returns the folders it wrote.
+once per job; what several reports need of them is kept in the cluster's checkpoint folder and
+removed when the job ends. Every job returns the folders it wrote.
+
+A job replaces the days (weeks, months) and places it is asked for and nothing else: results it finds
+no more are withdrawn, and results of other days stay as they are. Results by month need whole months.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from placelytics.functions.time import PERIOD_COLUMNS, report_day
+from placelytics.functions.time import PERIOD_COLUMNS, month_starts, on_days, report_day, week_label, whole_periods
 from placelytics.operators import buyers, movement, overlap, poslink, profiles, repeat, visits
 from placelytics.sources.readers import PARTITIONS, read_linked
 from placelytics.sources.sinks import publish, with_partitions
 
+# Folders of the results. Daily movement, which would share one, has a folder of its own.
 PERIOD_FOLDERS = {"day": "daily", "week": "weekly", "month": "monthly"}
+MOVEMENT_FOLDERS = {"month": "moving", "day": "moving_daily"}
+
+
+@contextmanager
+def _computed_once(df: DataFrame) -> Iterator[DataFrame]:
+    """``df``, computed into the cluster's checkpoint folder and removed from there at the end.
+
+    It holds device ids, so it never goes under the published folder: a cluster that names no
+    checkpoint folder is refused.
+    """
+    spark = df.sparkSession
+    shared = spark.sparkContext.getCheckpointDir()
+    if shared is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{shared}/job-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _within(first: str | None, last: str | None) -> Callable[[str], bool]:
+    return lambda name: (first is None or first <= name) and (last is None or name <= last)
 
 
-def _computed_once(df: DataFrame, out: str) -> DataFrame:
-    """``df`` from a checkpoint in the cluster's own folder; under ``out`` if it names none."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(f"{out}/_checkpoints")
-    return df.checkpoint()
+def _places(places: DataFrame) -> Callable[[str], bool]:
+    """Whether a place is in a place list; the names of a list, not of visits, are collected."""
+    return {str(row[0]) for row in places.select("place_id").distinct().collect()}.__contains__
+
+
+def _whole_months(start: str, end: str) -> None:
+    if (start, end) != whole_periods("month", start, end):
+        raise ValueError(f"results by month need whole months, not {start} to {end}")
 
 
 def overlap_reports(
@@ -34,23 +68,45 @@ def overlap_reports(
     config: DataFrame,
     out: str,
     *,
+    start: str | None = None,
     end: str | None = None,
     periods: Iterable[str] = tuple(PERIOD_FOLDERS),
     format: str = "parquet",
 ) -> list[str]:
-    """Place overlap per day, week and month up to ``end``, by place."""
-    seen = _computed_once(visits.monitored_days(visits_table, config, end=end or report_day()), out)
+    """Place overlap per day, week and month up to ``end``, by place and period.
+
+    With ``start`` only the days, weeks and months that ``start`` to ``end`` touches are computed, each
+    of them whole; without it all since the places opened.
+    """
+    end, periods = end or report_day(), list(periods)
+    spans = {p: whole_periods(p, start, end) if start else (None, end) for p in periods}
+    first = min(s for s, _ in spans.values()) if start else None
+    last = max(e for _, e in spans.values())
+    days = visits.monitored_days(visits_table, config, start=first, end=last)
+    listed = _places(config)
     written = []
-    for period in periods:
-        pairs = overlap.overlap(visits.in_period(seen, period), period)
-        folder = f"{out}/duplication/{PERIOD_FOLDERS[period]}"
-        order = ["competitor_id", "duplication_place_id", "duplication_competitor_id"]
-        order.append(PERIOD_COLUMNS[period])
-        publish(pairs, folder, ["place_id"], sort_by=order, format=format)
-        written.append(folder)
+    with _computed_once(days) as seen:
+        for period, span in spans.items():
+            pairs = overlap.overlap(visits.in_period(on_days(seen, *span), period), period)
+            folder, key = f"{out}/duplication/{PERIOD_FOLDERS[period]}", PERIOD_COLUMNS[period]
+            order = ["competitor_id", "duplication_place_id", "duplication_competitor_id"]
+            labels = _labels(seen.sparkSession, period, *span)
+            scope = {"place_id": listed, key: _within(*labels)}
+            publish(pairs, folder, ["place_id", key], sort_by=order, format=format, scope=scope)
+            written.append(folder)
     return written
 
 
+def _labels(spark: SparkSession, period: str, first: str | None, last: str) -> tuple[str | None, str]:
+    """Labels of the first and last period of a span."""
+    if period == "day":
+        return first, last
+    if period == "month":
+        return first and first[:7], last[:7]
+    span = spark.range(1).select(week_label(F.lit(first)).alias("first"), week_label(F.lit(last)).alias("last")).first()
+    return span["first"], span["last"]
+
+
 def profile_reports(
     visits_table: DataFrame,
     config: DataFrame,
@@ -69,20 +125,35 @@ def profile_reports(
     """Home and work areas, topics, and cohorts by topic, by day; by default of one day."""
     if start is None and end is None and days is None:
         days = [report_day()]
-    own = visits.device_days(visits_table, config, start=start, end=end, days=days)
-    own = _computed_once(own, out)
-    configured = visits.configured_only(own, config)
-    reports = {
-        "location": profiles.profile_location(own, home_work, prefectures=prefectures),
-        "topic": profiles.profile_topic(configured, topics),
-        "topic_to_cohort": profiles.profile_cohort(own, cohorts, topics, category=category),
-    }
-    for name, report in reports.items():
-        keys = [c for c in report.columns if c not in ("date", "count")]
-        publish(report, f"{out}/{name}", ["date"], sort_by=keys, format=format)
+    days = days if days is None else sorted(set(days))
+    span = {"start": start, "end": end, "days": days}
+    in_span = _within(start, end)
+    scope = {"date": lambda name: in_span(name) and (days is None or name in days)}
+    with _computed_once(visits.device_days(visits_table, config, **span)) as own, _skew_joins(own.sparkSession):
+        configured = visits.configured_only(own, config)
+        reports = {
+            "location": profiles.profile_location(own, home_work, prefectures=prefectures, **span),
+            "topic": profiles.profile_topic(configured, topics),
+            "topic_to_cohort": profiles.profile_cohort(own, cohorts, topics, category=category, **span),
+        }
+        for name, report in reports.items():
+            keys = [c for c in report.columns if c not in ("date", "count")]
+            publish(report, f"{out}/{name}", ["date"], sort_by=keys, format=format, scope=scope)
     return [f"{out}/{name}" for name in reports]
 
 
+@contextmanager
+def _skew_joins(spark: SparkSession) -> Iterator[None]:
+    """Split hot devices also in a join that another join on the device follows; restored at the end."""
+    key = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def movement_report(
     visits_table: DataFrame,
     config: DataFrame,
@@ -97,18 +168,32 @@ def movement_report(
     prefectures: Iterable[str] = profiles.PREFECTURES,
     format: str = "parquet",
 ) -> list[str]:
-    """Co-visited spots of all places at once, by place and month or by place and day."""
-    start = start or report_day()
-    seen = visits.tenant_device_days(visits_table, config, start=start, end=end or start)
+    """Co-visited spots of all places at once, by place and month or by place and day.
+
+    By month, ``start`` and ``end`` are required and must be whole months; by day, the default is the
+    report day. Spots valid from before the first month are reported under the month they are valid
+    from, as the counts are by spot period; only months of the span are replaced or withdrawn.
+    """
+    daily = grain == "day"
+    if daily:
+        start = start or report_day()
+        end = end or start
+    elif start is None or end is None:
+        raise ValueError("results by month need start and end")
+    else:
+        _whole_months(start, end)
+    span = {"start": start, "end": end}
+    seen = visits.tenant_device_days(visits_table, config, **span)
     counts = movement.covisited_spots(
-        seen, device_spots, catalog, categories, grain=grain, prefectures=prefectures
+        seen, device_spots, catalog, categories, grain=grain, prefectures=prefectures, **span
     )
-    daily = grain == "day"
     labelled = with_partitions(counts, date="date" if daily else "start_date", day=daily)
     partitions = PARTITIONS if daily else PARTITIONS[:-1]
-    folder = f"{out}/moving"
+    folder = f"{out}/{MOVEMENT_FOLDERS[grain]}"
     order = ["competitor_id", "cohort_caption", "spot"]
-    publish(labelled, folder, partitions, sort_by=order, format=format)
+    scope = {"place": _places(config)}
+    scope |= {"dt": _within(start, end)} if daily else {"month": _within(start[:7], end[:7])}
+    publish(labelled, folder, partitions, sort_by=order, format=format, scope=scope)
     return [folder]
 
 
@@ -126,10 +211,16 @@ def link_job(
     at_shops = visits.listed(visits_table, shops, "place_id")
     linked = poslink.link_sales(at_shops, poslink.pos_sales(pos, shops), tolerance, start=start, end=end)
     folder = f"{out}/intermediate"
-    publish(with_partitions(linked), folder, PARTITIONS)
+    scope = {"place": _places(shops), "dt": _within(start, end)}
+    publish(with_partitions(linked), folder, PARTITIONS, scope=scope)
     return [folder]
 
 
+def _linked(spark: SparkSession, intermediate: str, start: str, end: str) -> DataFrame:
+    """The intermediate of the days alone: its folders of other days are not read."""
+    return read_linked(spark, intermediate).where(F.col("dt").between(start, end)).drop(*PARTITIONS)
+
+
 def buyer_reports(
     spark: SparkSession,
     intermediate: str,
@@ -144,19 +235,23 @@ def buyer_reports(
     end: str,
     format: str = "parquet",
 ) -> list[str]:
-    """Estimated buyers, who they are, and which competitors they visit, from the intermediate."""
-    linked = read_linked(spark, intermediate).drop(*PARTITIONS)
+    """Estimated buyers, who they are, and which competitors they visit, from the intermediate.
+
+    A sale takes the age, gender and areas of the snapshot of its own month.
+    """
+    linked, months = _linked(spark, intermediate, start, end), month_starts(start, end)
     reports = {
         "devices": poslink.linked_devices(linked),
         "visitor": poslink.linked_visitors(linked),
-        "agegender": buyers.linked_age_gender(linked, age_gender, start, min_counts),
-        "location": buyers.linked_location(linked, home_work, start, min_counts),
+        "agegender": buyers.linked_age_gender(linked, age_gender, months, min_counts),
+        "location": buyers.linked_location(linked, home_work, months, min_counts),
         "topic": buyers.linked_topic(linked, topics, min_counts),
         "duplication": buyers.linked_overlap(linked, visits_table, min_counts, start=start, end=end),
     }
     for name, report in reports.items():
         keys = [c for c in report.columns if c not in ("place_id", "date", "count", "own_count")]
-        publish(with_partitions(report), f"{out}/{name}", PARTITIONS, sort_by=keys, format=format)
+        scope = {"dt": _within(start, end)}
+        publish(with_partitions(report), f"{out}/{name}", PARTITIONS, sort_by=keys, format=format, scope=scope)
     return [f"{out}/{name}" for name in reports]
 
 
@@ -172,14 +267,16 @@ def repeat_report(
     lookback_from: str | None = None,
     format: str = "parquet",
 ) -> list[str]:
-    """Repeat visits by item, by place and month.
+    """Repeat visits by item, by place and month; ``start`` to ``end`` must be whole months.
 
     Visits before ``start`` count towards the repeats only if ``lookback_from`` loads them.
     """
+    _whole_months(start, end)
     seen = visits.place_device_days(visits_table, shops, start=lookback_from or start, end=end)
     rolling = repeat.rolling_visits(seen, report_from=start)
-    counts = repeat.repeat_by_item(rolling, read_linked(spark, intermediate))
+    counts = repeat.repeat_by_item(rolling, _linked(spark, intermediate, start, end))
     folder = f"{out}/repeater"
     labelled = with_partitions(counts, day=False)
-    publish(labelled, folder, PARTITIONS[:-1], sort_by=["date"], format=format)
+    scope = {"place": _places(shops), "month": _within(start[:7], end[:7])}
+    publish(labelled, folder, PARTITIONS[:-1], sort_by=["date"], format=format, scope=scope)
     return [folder]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,13 +27,23 @@ def publish(
     sort_by: Sequence[str] = (),
     format: str = "parquet",
     options: Mapping[str, str] | None = None,
+    scope: Mapping[str, Callable[[str], bool]] | None = None,
 ) -> None:
     """Write ``df`` partitioned, replacing only the partitions it holds rows for.
 
     Rows are gathered by partition, so that each partition gets few files, but a partition too
     large for one task is split over several. Rows of a file are ordered by ``sort_by``.
+
+    ``scope`` says, by partition column, which partitions this run is responsible for. Those of them
+    that got no rows are removed once the write has succeeded, so a result that is gone is not left
+    published; without a scope nothing is removed. Partitions outside the scope are never touched.
+    Only folders of files in ``format`` can be withdrawn, not the versions of a transactional table.
     """
     gathered = df.hint("rebalance", *[F.col(name) for name in partition_by])
+    written = Observation()
+    if scope is not None:
+        names = F.struct(*[F.col(name).cast("string").alias(name) for name in partition_by])
+        gathered = gathered.observe(written, F.collect_set(names).alias("partitions"))
     if sort_by:
         gathered = gathered.sortWithinPartitions(*partition_by, *sort_by)
     (
@@ -42,4 +53,34 @@ def publish(
         .options(**(options or {}))
         .partitionBy(*partition_by)
         .save(path)
-    )
\ No newline at end of file
+    )
+    if scope is not None:
+        kept = {tuple(names) for names in written.get["partitions"]}
+        _withdraw(df.sparkSession, path, partition_by, scope, kept)
+
+
+def _withdraw(
+    spark: SparkSession,
+    path: str,
+    partition_by: Sequence[str],
+    scope: Mapping[str, Callable[[str], bool]],
+    kept: set[tuple[str, ...]],
+) -> None:
+    """Remove the partition folders in ``scope`` that are not ``kept``; lists names, reads no data."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def folders(at, values: tuple[str, ...]) -> Iterator[tuple[object, tuple[str, ...]]]:
+        if len(values) == len(partition_by):
+            yield at, values
+            return
+        column = partition_by[len(values)]
+        for status in files.listStatus(at):
+            name, _, value = unquote(status.getPath().getName()).partition("=")
+            if status.isDirectory() and name == column and scope.get(column, lambda _: True)(value):
+                yield from folders(status.getPath(), (*values, value))
+
+    if files.exists(root):
+        for folder, values in list(folders(root, ())):
+            if values not in kept:
+                files.delete(folder, True)

@@ -4,9 +4,10 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
-from rows import config, rows_of, sales, visit, visits
+from rows import config, linked, rows_of, sales, table, visit, visits
 
-from placelytics.operators import buyers, dimensions, poslink, profiles
+from placelytics import schemas
+from placelytics.operators import buyers, dimensions, movement, poslink, profiles, repeat
 from placelytics.operators import visits as ops
 from placelytics.plans.queries import QUERIES
 
@@ -42,19 +43,62 @@ def test_no_python_no_cross_join_no_single_task_window(spark, name):
 def test_visits_are_not_shuffled_by_place(spark, conf):
     """A place may hold a third of all visits, so no exchange of visits hashes on place alone."""
     conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
-    for name in QUERIES:
-        for keys in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(QUERIES[name](spark, SF))):
-            columns = {k.split("#")[0].strip() for k in keys.split(",")[:-1]}
-            # The configuration itself, at most 12 rows, is grouped by its places.
-            if columns in ({"place_id"}, {"place_id", "competitor_id"}):
-                assert "min(" in plan(QUERIES[name](spark, SF)), name
+    # A list that Spark knows no size of, as reports build theirs.
+    places = spark.createDataFrame([("T", "A", 0, "2024-01-01")], "user_id string, place_id string, competitor_id int, start_date string")
+    seen = visits(spark, visit(), visit("B"))
+    sold = sales(spark, {"datetime": "2024-01-10T12:00:00"})
+    for found in (
+        ops.device_days(seen, places),
+        ops.device_days(seen, places, require_config=True),
+        ops.tenant_device_days(seen, places),
+        ops.place_device_days(seen, places),
+        ops.device_periods(seen, places, "week"),
+        poslink.link_sales(ops.listed(seen, places, "place_id"), sold),
+    ):
+        for line in plan(found).splitlines():
+            keys = re.search(r"Exchange hashpartitioning\(([^)]*)\)", line)
+            columns = {k.split("#")[0].strip() for k in keys.group(1).split(",")[:-1]} if keys else set()
+            if columns and columns <= {"user_id", "place_id", "competitor_id"}:
+                # Only the list itself is ever grouped by its keys.
+                below = plan(found).split(line, 1)[1].splitlines()
+                assert "adid" not in "".join(below[:4]), line
 
 
-def test_no_operator_forces_a_broadcast(spark, conf):
+def test_lists_are_broadcast_only_up_to_their_bound(spark, conf, monkeypatch):
     conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
-    seen = visits(spark, visit(), visit("B"))
-    text = plan(ops.tenant_device_days(seen, config(spark, ("A", 0))))
-    assert "Broadcast" not in text and "SortMergeJoin" in text
+    seen, places = visits(spark, visit(), visit("B")), config(spark, ("A", 0))
+    small = ops.tenant_device_days(seen, places)
+    assert "SortMergeJoin" not in plan(small)
+    monkeypatch.setattr(ops, "LISTED_KEYS", 0)
+    large = ops.tenant_device_days(seen, places)
+    assert "Broadcast" not in plan(large) and "SortMergeJoin" in plan(large)
+    assert rows_of(small) == rows_of(large)
+
+
+def test_days_of_the_run_reach_the_device_tables(spark, tmp_path, conf):
+    conf(maxMetadataStringLength="2000")
+    days = ops.device_days(visits(spark, visit()), config(spark, ("A", 0)))
+    schemas_of = {"home_work": schemas.HOME_WORK, "cohorts": schemas.COHORTS, "spots": schemas.DEVICE_SPOTS}
+    paths = {}
+    for name, schema in schemas_of.items():
+        paths[name] = str(tmp_path / name)
+        spark.createDataFrame([], schema).write.parquet(paths[name])
+    read = {name: spark.read.schema(schema).parquet(paths[name]) for name, schema in schemas_of.items()}
+    span = {"start": "2024-01-05", "end": "2024-01-20"}
+    topics = spark.createDataFrame([], schemas.TOPICS)
+    tenant = ops.tenant_device_days(visits(spark, visit()), config(spark, ("A", 0)))
+    catalog, allowed = (spark.createDataFrame([], s) for s in (schemas.SPOT_CATALOG, schemas.CATEGORIES))
+    plans = [
+        plan(profiles.profile_location(days, read["home_work"], **span)),
+        plan(profiles.profile_cohort(days, read["cohorts"], topics, **span)),
+        plan(movement.covisited_spots(tenant, read["spots"], catalog, allowed, **span)),
+        plan(movement.covisited_spots(tenant, read["spots"], catalog, allowed, grain="day", **span)),
+    ]
+    # A single month makes the bound on the first day superfluous.
+    assert all(re.search(r"PushedFilters: .*LessThanOrEqual\(start_date,2024-01-20\)", text) for text in plans[:3])
+    for text in plans:
+        assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(end_date,2024-01-05\)", text)
+    assert re.search(r"PushedFilters: .*(In|EqualTo)\(start_date, ?\[?2024-01-01\]?\)", plans[3])
 
 
 def _hot(spark, n):
@@ -187,9 +231,17 @@ def test_columns_are_pruned_at_the_scan(spark):
     assert customer == "c_custkey:bigint,c_nationkey:int,c_mktsegment:string"
 
 
-def test_rolling_and_history_share_one_sort(spark):
-    from placelytics.operators import repeat
-
+def test_rolling_visits_need_one_window(spark):
     days = ops.place_device_days(visits(spark, visit()), config(spark, ("A", 0)))
     assert plan(repeat.rolling_visits(days)).count("Window [") == 1
-    assert buyers.SALE == ("caption", "shop_code", "item_name")
+
+
+def test_competitor_contacts_are_read_at_the_reported_places_alone(spark, tmp_path):
+    path = str(tmp_path / "visits")
+    seen = visits(spark, *[visit(p, rival=1, adid="d1") for p in "ABCD"])
+    seen.withColumn("place", F.col("place_id")).write.partitionBy("place").parquet(path)
+    limits = str(tmp_path / "limits")
+    table(spark, schemas.MIN_COUNTS, {"caption": "shop", "place_id": "A", "infimum": 1}).write.parquet(limits)
+    found = buyers.linked_overlap(linked(spark, {}), spark.read.parquet(path), spark.read.parquet(limits))
+    assert "dynamicpruning" in plan(found)
+    assert rows_of(found, "place_id", "count") == [("A", 1)]
