@@ -158,11 +158,12 @@ class Tables:
     @cached_property
     def age_gender(self) -> DataFrame:
         months = F.array(*[F.lit(start) for start, _ in MONTHS])
-        return self._raw("customer").select(
+        earlier = (F.col("start_date") < SNAPSHOT).cast("int")
+        return self._raw("customer").withColumn("start_date", F.explode(months)).select(
             _text("c_custkey").alias("adid"),
-            (F.col("c_custkey") % 7 * 10).cast("int").alias("age"),
+            ((F.col("c_custkey") + earlier) % 7 * 10).cast("int").alias("age"),
             F.when(F.col("c_custkey") % 2 == 0, "M").otherwise("F").alias("gender"),
-            F.explode(months).alias("start_date"),
+            "start_date",
         )
 
     @cached_property

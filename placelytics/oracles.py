@@ -34,7 +34,8 @@ home_work AS (
   FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
   CROSS JOIN (VALUES ('home'), ('work')) AS v(tc)),
 age_gender AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS adid, CAST((c_custkey % 7) * 10 AS INT) AS age,
+  SELECT CAST(c_custkey AS VARCHAR) AS adid, 
+         CAST((c_custkey + CASE WHEN sd < '2024-01-01' THEN 1 ELSE 0 END) % 7 * 10 AS INT) AS age,
          CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender, sd AS start_date
   FROM customer CROSS JOIN (VALUES ('2023-12-01'), ('2024-01-01')) AS v(sd)),
 topics AS (
@@ -127,9 +128,13 @@ def _unique(name: str) -> str:
     return _with(_periods(name), _own(name)) + "SELECT * FROM own"
 
 
-def _overlap(name: str) -> str:
+def _overlap(name: str, days: str | None = None) -> str:
     column = _PERIOD[name][0]
-    return _with(_periods(name), _own(name)) + f"""
+    periods = _periods(name)
+    if days is not None:
+        assert "WHERE " in periods
+        periods = periods.replace("WHERE ", f"WHERE v.date {days} AND ", 1)
+    return _with(periods, _own(name)) + f"""
 SELECT a.{column}, a.place_id, a.competitor_id, b.place_id AS duplication_place_id,
        b.competitor_id AS duplication_competitor_id, count(*) AS duplication_count, o.own_count
 FROM periods a
@@ -195,9 +200,18 @@ def _link(minutes: int) -> str:
     return _with(_SALES, _linked(minutes)) + "SELECT * FROM linked"
 
 
-def _buyers(join: str, where: str, *attributes: str, competitor: bool = False) -> str:
+def _buyers(
+    join: str, where: str, *attributes: str, competitor: bool = False, fixed: int | None = None
+) -> str:
     group = ["l.user_id", "l.place_id", *(["l.competitor_id"] if competitor else []), "l.date"]
     group = ", ".join([*group, "l.caption", "l.shop_code", "l.item_name", *attributes])
+    if fixed is not None:
+        return _with(_SALES, _linked(30)) + f"""
+SELECT {group}, count(l.adid) AS count
+FROM linked l JOIN {join} x ON x.adid = l.adid
+WHERE {where}
+GROUP BY {group}
+HAVING count(l.adid) >= {fixed}"""
     return _with(_SALES, _linked(30)) + f"""
 SELECT {group}, count(l.adid) AS count
 FROM linked l JOIN {join} x ON x.adid = l.adid
@@ -265,6 +279,13 @@ FROM linked GROUP BY user_id, place_id, competitor_id, date, caption""",
 SELECT user_id, place_id, date, caption, shop_code, item_name, count(adid) AS count
 FROM linked GROUP BY user_id, place_id, date, caption, shop_code, item_name HAVING count(adid) >= 2""",
         "linked_age_gender": _buyers("age_gender", "x.start_date = '2024-01-01'", "x.age", "x.gender"),
+        "linked_age_gender_months": _buyers(
+            "age_gender", "x.start_date = l.date[1:7] || '-01'", "x.age", "x.gender"
+        ),
+        "linked_age_gender_fixed": _buyers(
+            "age_gender", "x.start_date = '2024-01-01'", "x.age", "x.gender", fixed=2
+        ),
+        "overlap_weekly_range": _overlap("weekly", "BETWEEN '2024-01-07' AND '2024-01-20'"),
         "linked_location": _buyers(
             "home_work",
             "x.start_date = '2024-01-01'",

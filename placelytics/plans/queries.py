@@ -21,8 +21,10 @@ def _unique(period: str) -> Callable[[Tables], DataFrame]:
     )
 
 
-def _overlap(period: str) -> Callable[[Tables], DataFrame]:
-    return lambda t: overlap.overlap(visits.monitored_visits(t.visits, t.place_config, period), period)
+def _overlap(period: str, **span) -> Callable[[Tables], DataFrame]:
+    return lambda t: overlap.overlap(
+        visits.monitored_visits(t.visits, t.place_config, period, **span), period
+    )
 
 
 def _device_days(t: Tables, **options) -> DataFrame:
@@ -86,6 +88,7 @@ _PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "overlap_daily": _overlap("day"),
     "overlap_weekly": _overlap("week"),
     "overlap_monthly": _overlap("month"),
+    "overlap_weekly_range": _overlap("week", start="2024-01-07", end="2024-01-20"),
     "device_days": _device_days,
     "device_days_all": _all_days,
     "profile_location": _location(),
@@ -105,6 +108,12 @@ _PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "linked_age_gender": lambda t: buyers.linked_age_gender(
         _linked(t), t.age_gender, fixtures.SNAPSHOT, t.min_counts
     ),
+    "linked_age_gender_months": lambda t: buyers.linked_age_gender(
+        _linked(t), t.age_gender, [start for start, _ in fixtures.MONTHS], t.min_counts
+    ),
+    "linked_age_gender_fixed": lambda t: buyers.linked_age_gender(
+        _linked(t), t.age_gender, fixtures.SNAPSHOT, 2
+    ),
     "linked_location": lambda t: buyers.linked_location(
         _linked(t), t.home_work, fixtures.SNAPSHOT, t.min_counts
     ),
