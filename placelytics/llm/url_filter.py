@@ -4,7 +4,8 @@ Reputation is an empirical-Bayes estimate of the share of bad pages. Labelled ou
 shrunk towards its registered domain, the domain towards its suffix, the suffix towards the whole
 table, each through a beta prior whose mean is the parent's posterior mean and whose strength is
 estimated, per level, from the spread between siblings. A host is blocked when the lower bound of
-its posterior exceeds a threshold, so a host with few labels is not judged by chance.
+its posterior, which also holds what is uncertain about its parents, exceeds a threshold, so a host
+with few labels is not judged by chance.
 """
 
 from __future__ import annotations
@@ -72,9 +73,9 @@ def reputations(hosts: DataFrame) -> DataFrame:
         keys = list(LEVELS[: depth + 1])
         groups = table.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
         if parents is None:
-            groups = groups.withColumn("prior", F.lit(top))
+            groups = groups.withColumn("prior", F.lit(top)).withColumn("doubt", F.lit(0.0))
         else:
-            groups = groups.join(parents.withColumnRenamed("mean", "prior"), keys[:-1])
+            groups = groups.join(parents, keys[:-1])
         groups = cut(groups)
         spread = F.col("prior") * (1 - F.col("prior"))
         sums = groups.agg(
@@ -86,11 +87,10 @@ def reputations(hosts: DataFrame) -> DataFrame:
         strength = min(max(1 / extra - 1, STRENGTH[0]), STRENGTH[1]) if extra > 0 else STRENGTH[1]
         weight = F.col("n") + strength
         mean = (F.col("bad") + strength * F.col("prior")) / weight
-        groups = groups.withColumn("mean", mean).withColumn(
-            "bound", F.col("mean") - Z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (weight + 1))
-        )
-        parents = groups.select(*keys, "mean")
-    return groups.select("host", "n", "bad", "mean", "bound")
+        own = F.col("mean") * (1 - F.col("mean")) / (weight + 1)
+        groups = groups.withColumn("mean", mean).withColumn("variance", own + F.pow(strength / weight, 2) * F.col("doubt"))
+        parents = groups.select(*keys, F.col("mean").alias("prior"), F.col("variance").alias("doubt"))
+    return groups.select("host", "n", "bad", "mean", (F.col("mean") - Z * F.sqrt("variance")).alias("bound"))
 
 
 def judge(
