@@ -17,7 +17,7 @@ BASE = prose(120)
 def edited(text, places, rng=_RNG):
     words = text.split()
     for i in places:
-        words[i] = f"new{rng.randrange(10**6)}"
+        words[i % len(words)] = f"new{rng.randrange(10**6)}"
     return " ".join(words)
 
 

@@ -67,15 +67,14 @@ def families(seed):
     return [(i, t, None, None, None, None) for i, t in rows]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80), (2, 60)])
+@pytest.mark.parametrize(("seed", "size", "percent"), [(1, 3, 90), (2, 5, 80), (3, 2, 60)])
 def test_families_equal_brute_force(spark, seed, size, percent):
     rows = families(seed)
     assert found(spark, rows, size, percent) == brute(rows, size, percent)
 
 
 def test_order_of_ngrams_never_changes_the_result(spark, monkeypatch):
-    rows = families(3)
+    rows = families(4)
     monkeypatch.setattr(ngram_join, "COMMON_SHARE", 2.0)
     assert found(spark, rows, 3, 80) == brute(rows, 3, 80)
 
@@ -86,7 +85,8 @@ def test_dropping_keeps_one_row_of_each_component(spark):
     assert kept.columns == docs.columns
     expected = brute(edge.ROWS, 5, 80)
     wordless = sum(n == 0 for _, n, _ in expected)
-    assert kept.count() == wordless + len({c for _, n, c in expected if n and (c != 13)}) + 2
+    # The repeated ids 13 and 14 are the least of two components each.
+    assert kept.count() == wordless + len({c for _, n, c in expected if n and c not in (13, 14)}) + 4
 
 
 def test_empty_table(spark):

@@ -51,7 +51,7 @@ def test_shared_passages_equal_brute_force(spark, seed, window, gram):
 
 
 def test_full_bitmap_changes_nothing(spark, monkeypatch):
-    monkeypatch.setattr(substring, "BITS", 64)
+    monkeypatch.setattr(substring, "BITS", 128)
     assert found(spark, edge.ROWS) == brute(edge.ROWS, 35)
 
 

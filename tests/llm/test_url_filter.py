@@ -75,7 +75,7 @@ def test_equals_plain_computation(spark):
 
     outcome = dict(known)
     total, wrong = len(known), sum(b for _, b in known)
-    mean = {(): (wrong + 1) / (total + 2)}
+    mean, variance = {(): (wrong + 1) / (total + 2)}, {(): 0.0}
     bounds = {}
     for level in range(3):
         n, k = {}, {}
@@ -92,7 +92,8 @@ def test_equals_plain_computation(spark):
         m = min(max(1 / extra - 1, low), high) if extra > 0 else high
         for x in n:
             mean[x] = (k[x] + m * prior[x]) / (n[x] + m)
-            bounds[x] = mean[x] - url_filter.Z * (mean[x] * (1 - mean[x]) / (n[x] + m + 1)) ** 0.5
+            variance[x] = mean[x] * (1 - mean[x]) / (n[x] + m + 1) + (m / (n[x] + m)) ** 2 * variance[x[:level]]
+            bounds[x] = mean[x] - url_filter.Z * variance[x] ** 0.5
     assert set(found) == set(hosts)
     for h, (a, b) in found.items():
         assert (a, b) == (pytest.approx(mean[names(h)[2]]), pytest.approx(bounds[names(h)[2]]))
