@@ -67,19 +67,22 @@ def write_archives(
     rows = pages.select(F.col(id).cast("long").alias("id"), _uri(F.col(url)).alias("uri"), payload.alias("payload")).withColumn(
         "digest", F.unhex(F.sha1("payload"))
     )
+    # One key for spreading the archives and for the join, so that payloads are shuffled once. Two
+    # structs with a null in the same place are equal.
+    key = F.struct("id", "digest")
     headers = rows.select("id", "uri", "digest", (F.octet_length("payload") >= min_bytes).alias("shared"))
     best = headers.where("shared").groupBy("digest").agg(F.max(F.struct("id", "uri")).alias("best"))
     decided = (
         headers.where("shared")
         .join(best, "digest")
         .where(~F.col("id").eqNullSafe(F.col("best.id")))
-        .select(F.col("id").alias("i"), F.col("digest").alias("d"), "best")
+        .select(key.alias("key"), "best")
         .distinct()
     )
     size = pages.agg(F.sum(F.octet_length(F.col(html)))).first()[0] or 0
     files = max(1, -(-size // ARCHIVE_BYTES))
-    spread = rows.repartition(files, F.xxhash64("id", "digest"))
-    records = spread.join(decided, F.col("id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d")), "left")
+    spread = rows.withColumn("to", key).repartition(files, "to")
+    records = spread.join(decided, F.col("to") == F.col("key"), "left")
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
         F.octet_length("payload").cast("string"),
