@@ -94,9 +94,9 @@ def path_nodes(branches: DataFrame, tables: list[DataFrame]) -> DataFrame:
     found = branches.select("tree", "branch", F.col("leaf").alias("node"))
     for table in reversed(tables):
         jump = table.where("up IS NOT NULL").select("tree", "node", "up")
-        found = found.unionByName(
-            found.join(jump, ["tree", "node"]).select("tree", "branch", F.col("up").alias("node"))
-        )
+        above = found.join(jump, ["tree", "node"]).select("tree", "branch", F.col("up").alias("node"))
+        # Each round uses the one before twice: without a cut the plan doubles.
+        found = cut(found.unionByName(above))
     return found
 
 
