@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +48,43 @@ def ascii_lower(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+#: Bits of a bitmap of keys: 8 MB, whatever the table. A full one holds nothing back, and no more.
+BITS = 1 << 26
+
+
+def bitmap(keys: DataFrame, bits: int = BITS) -> np.ndarray:
+    """A bit for each value of the one long column of ``keys``; at most ``bits / 64`` rows are collected."""
+    key = F.pmod(F.col(keys.columns[0]), F.lit(bits))
+    cells = (
+        keys.select(F.floor(key / 64).alias("cell"), F.call_function("shiftleft", F.lit(1).cast("long"), (key % 64).cast("int")).alias("bits"))
+        .groupBy("cell")
+        .agg(F.bit_or("bits").alias("bits"))
+        .toPandas()
+    )
+    out = np.zeros(bits // 64, np.int64)
+    out[cells["cell"].to_numpy(np.int64)] = cells["bits"].to_numpy(np.int64)
+    return out
+
+
+def marked(held: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of ``keys`` may be in the bitmap; one that is in it always is."""
+    bit = keys % (len(held) * 64)
+    return (held[bit >> 6] >> (bit & 63)) & 1 == 1
+
+
+def rows_marked(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose long ``column`` may be among ``keys``, so that a join shuffles few others."""
+    held = df.sparkSession.sparkContext.broadcast(bitmap(keys))
+    at = df.columns.index(column)
+
+    def batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(marked(held.value, b.column(at).to_numpy(zero_copy_only=False))))
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(batch, df.schema)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``edges(u, v)``; the root is the component's least node.
 

@@ -20,6 +20,7 @@ confirm word by word stays.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,12 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placelytics.llm.shared import require, stored
+from placelytics.llm.shared import BITS, bitmap, marked, require, rows_marked, stored
 from placelytics.llm.wordhash import blocks, gram_hashes, hashes, run_hashes, words
 
 WINDOW, GRAM = 35, 8
-#: Bits of the bitmap of repeated grams. A full bitmap keeps documents that need no work, and no more.
-BITS = 1 << 26
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -82,21 +81,8 @@ def repeated_grams(docs: DataFrame, window: int, gram: int, text: str = "text")
                 grams = pieces(word, firsts, window, gram)[3]
                 yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64))], names=["gram"])
 
-    bit = F.pmod(F.col("gram"), F.lit(BITS))
-    cells = (
-        docs.select(docs[text])
-        .mapInArrow(chosen, "gram long")
-        .groupBy("gram")
-        .agg(F.count("*").alias("n"))
-        .where("n > 1")
-        .select(F.floor(bit / 64).alias("cell"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("bits"))
-        .groupBy("cell")
-        .agg(F.bit_or("bits").alias("bits"))
-        .toPandas()
-    )
-    bitmap = np.zeros(BITS // 64, np.int64)
-    bitmap[cells["cell"].to_numpy(np.int64)] = cells["bits"].to_numpy(np.int64)
-    return bitmap
+    counts = docs.select(docs[text]).mapInArrow(chosen, "gram long").groupBy("gram").agg(F.count("*").alias("n"))
+    return bitmap(counts.where("n > 1").select("gram"), BITS)
 
 
 def _places(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -171,22 +157,20 @@ class SuffixAutomaton:
         return np.cumsum(edges)[:-1] > 0
 
 
-def _surveyed(docs: DataFrame, bitmap: np.ndarray, window: int, gram: int, id: str, text: str) -> DataFrame:
-    """Every document with its counts; its text and pieces if it has a gram of the bitmap."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+def _surveyed(docs: DataFrame, repeated: np.ndarray, window: int, gram: int, id: str, text: str) -> DataFrame:
+    """Every document with its counts; its words, deflated, and pieces if it has a gram of the bitmap."""
+    shared = docs.sparkSession.sparkContext.broadcast(repeated)
 
     def batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
         for b in batches:
             for at, word, firsts in _hashed(b.column(2)):
                 part = b.slice(at, len(firsts) - 1)
                 of, start, n, grams, whole = pieces(word, firsts, window, gram)
-                bit = grams.view(np.int64) % BITS
-                seen = (bits[bit >> 6] >> (bit & 63)) & 1 == 1
+                seen = marked(shared.value, grams.view(np.int64))
                 of, start, n, grams, whole = of[seen], start[seen], n[seen], grams[seen], whole[seen]
                 counts = np.bincount(of, minlength=len(part))
-                texts = part.column(2).to_pylist()
-                kept = [hashlib.sha256(b" ".join((t or "").encode().split())).hexdigest() for t in texts]
+                texts = [b" ".join((t or "").encode().split()) for t in part.column(2).to_pylist()]
+                kept = [hashlib.sha256(t).hexdigest() for t in texts]
                 hits = pa.StructArray.from_arrays(
                     [pa.array(grams.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(start), pa.array(n)],
                     names=["gram", "piece", "at", "n"],
@@ -194,7 +178,7 @@ def _surveyed(docs: DataFrame, bitmap: np.ndarray, window: int, gram: int, id: s
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), part.column(1), pa.array(np.diff(firsts)), pa.array(kept),
-                        pa.array([t if k else None for t, k in zip(texts, counts, strict=True)], pa.string()),
+                        pa.array([zlib.compress(t) if k else None for t, k in zip(texts, counts, strict=True)], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), hits),
                     ],
                     names=["id", "doc", "n_words", "kept_sha256", "text", "hits"],
@@ -204,7 +188,7 @@ def _surveyed(docs: DataFrame, bitmap: np.ndarray, window: int, gram: int, id: s
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(
         batch,
-        f"id {kind}, doc long, n_words long, kept_sha256 string, text string,"
+        f"id {kind}, doc long, n_words long, kept_sha256 string, text binary,"
         " hits array<struct<gram:long,piece:long,at:long,n:long>>",
     )
 
@@ -237,7 +221,8 @@ def _claims(found: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     def single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             spans = b.column(1).to_pylist()
-            for at, word, firsts in _hashed(b.column(2)):
+            texts = pa.array([zlib.decompress(t) for t in b.column(2).to_pylist()], pa.large_binary())
+            for at, word, firsts in _hashed(texts):
                 for i in range(len(firsts) - 1):
                     grams = gram_hashes(word[firsts[i] : firsts[i + 1]], window).view(np.int64)
                     starts = np.unique(np.concatenate([np.arange(s["at"], s["at"] + s["n"]) for s in spans[at + i]]))
@@ -248,6 +233,9 @@ def _claims(found: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     windows = stored(
         single.select("doc", "spans", "text").mapInArrow(single_windows, "doc long, at long, win long"), "windows"
     )
+    # Most of them start in one place alone; only the others are shuffled with their places.
+    counts = windows.groupBy("win").agg(F.count("*").alias("k"))
+    windows = rows_marked(windows, "win", counts.where("k > 1").select("win"))
     again = windows.groupBy("win").agg(F.count("*").alias("k"), F.min(place).alias("low"), F.max(place).alias("high")).where("k > 1")
     return known.where("k > 1").select("doc", "at", "n", "other").unionByName(
         windows.join(again, "win").select("doc", "at", F.lit(1).cast("long").alias("n"), other.alias("other"))
@@ -255,7 +243,10 @@ def _claims(found: DataFrame, texts: DataFrame, window: int) -> DataFrame:
 
 
 def _passages(claims: DataFrame, texts: DataFrame, window: int) -> DataFrame:
-    """``(doc, passages)``: the words of the places its windows repeat, fetched from there."""
+    """``(doc, passages)``: the words of the places its windows repeat, fetched from there.
+
+    A deflated block has the passages of one other document, one a line.
+    """
     wanted = claims.groupBy("doc", F.col("other.doc").alias("other"), (F.col("other.at") - F.col("at")).alias("shift")).agg(
         F.collect_list(F.struct("at", "n")).alias("spans")
     )
@@ -263,14 +254,14 @@ def _passages(claims: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, source = None, []
         for b in batches:
-            docs, passages = [], []
-            for i, (doc, other, shift, spans) in enumerate(zip(*(b.column(c).to_pylist() for c in range(4)), strict=True)):
+            passages = []
+            for i, (other, shift, spans) in enumerate(zip(*(b.column(c).to_pylist() for c in (1, 2, 3)), strict=True)):
                 if other != last:
-                    last, source = other, b.column(4)[i].as_py().encode().split()
-                for first, end in _places([(s["at"], s["n"]) for s in spans]):
-                    docs.append(doc)
-                    passages.append(b" ".join(source[first + shift : end + shift + window - 1]))
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(passages, pa.binary())], names=["doc", "passage"])
+                    last, source = other, zlib.decompress(b.column(4)[i].as_py()).split()
+                runs = _places([(s["at"], s["n"]) for s in spans])
+                lines = [b" ".join(source[first + shift : end + shift + window - 1]) for first, end in runs]
+                passages.append(zlib.compress(b"\n".join(lines)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(passages, pa.binary())], names=["doc", "passage"])
 
     return (
         wanted.join(texts.withColumnRenamed("doc", "other"), "other")
@@ -298,14 +289,17 @@ def remove_repeats(
     passages = _passages(_claims(found, texts, window), texts, window)
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = lru_cache(maxsize=8)(lambda passages: SuffixAutomaton([p.split() for p in passages]))
+        @lru_cache(maxsize=8)
+        def automaton(blocks: tuple[bytes, ...]) -> SuffixAutomaton:
+            return SuffixAutomaton([line.split() for x in blocks for line in zlib.decompress(x).split(b"\n")])
+
         for b in batches:
             removed, kept, digests = [], [], []
             for source, parts, digest in zip(*(b.column(c).to_pylist() for c in (2, 3, 4)), strict=True):
                 left = None
                 gone = 0
                 if parts:
-                    all_words = source.encode().split()
+                    all_words = zlib.decompress(source).split()
                     covered = automaton(tuple(parts)).covered(all_words, window)
                     gone = int(covered.sum())
                     left = b" ".join(w for w, c in zip(all_words, covered, strict=True) if not c)

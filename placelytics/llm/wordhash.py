@@ -2,7 +2,7 @@
 
 Works on the UTF-8 bytes of Arrow columns with numpy. Equal words always get equal hashes; unequal
 ones practically never do (64 bits). A block holds about ``BLOCK`` bytes of text, or one longer text,
-so memory does not follow the size of an Arrow batch.
+so the arrays made of it stay small whatever the size of an Arrow batch.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _M = (1 << 64) - 1
 _P = 0x9E3779B97F4A7C15 | 1
 _Q = 0xD1342543DE82EF95
