@@ -59,10 +59,10 @@ def bitmap(keys: DataFrame, bits: int = BITS) -> np.ndarray:
         keys.select(F.floor(key / 64).alias("cell"), F.call_function("shiftleft", F.lit(1).cast("long"), (key % 64).cast("int")).alias("bits"))
         .groupBy("cell")
         .agg(F.bit_or("bits").alias("bits"))
-        .toPandas()
+        .toArrow()
     )
     out = np.zeros(bits // 64, np.int64)
-    out[cells["cell"].to_numpy(np.int64)] = cells["bits"].to_numpy(np.int64)
+    out[cells["cell"].to_numpy()] = cells["bits"].to_numpy()
     return out
 
 
