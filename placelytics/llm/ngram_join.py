@@ -3,7 +3,8 @@
 A grouped prefix join. The n-grams of a set are put into one global order and only a prefix is
 indexed: two sets that are similar enough share an n-gram of their prefixes. Documents with identical
 prefixes and sizes are one group, so copies are indexed once. Pairs of groups that share an n-gram are
-filtered by size and position, expanded to their member sets, and verified on the full sets.
+filtered by size and position, expanded to their member sets, filtered by sketches, and verified on
+the full sets.
 
 What is asked for is the components of the links, so pairs are found in two phases. First every
 member of an n-gram's list is verified against one leader of its size, which joins most of a family
@@ -12,7 +13,9 @@ across components are verified, all of them. No link between components can be m
 list is ever expanded into all pairs of one family.
 
 The order puts n-grams that very many documents share last, so that common passages do not fill the
-prefixes. Which n-grams those are only changes the cost, never the result.
+prefixes. Which n-grams those are only changes the cost, never the result. A number of 63 bits, the
+hash of the n-gram below a bit that says whether it is common, stands for an n-gram and its place in
+the order.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placelytics.llm.shared import components, cut, require, stored
+from placelytics.llm.shared import components, cut, require, rows_marked, stored
 from placelytics.llm.wordhash import blocks, gram_hashes, hashes, run_hashes, words
 
 WORDS, PERCENT = 5, 80
@@ -33,6 +36,8 @@ WORDS, PERCENT = 5, 80
 COMMON_SHARE, COMMON_MOST = 1 / 2000, 200_000
 #: Share of the space of hashes in which common n-grams are looked for: prefixes are the least hashes.
 _LOOKED_AT = np.uint64((1 << 64) // 10 * 4)
+#: Columns of a set's sketch, 64 bits each.
+_SKETCH = ("sketch0", "sketch1", "sketch2", "sketch3")
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -82,13 +87,13 @@ def common_ngrams(docs: DataFrame, size: int, text: str = "text") -> np.ndarray:
         .where(F.col("n") >= max(8, COMMON_SHARE * rows))
         .orderBy(F.desc("n"), "gram")
         .limit(COMMON_MOST)
-        .toPandas()
+        .toArrow()
     )
-    return np.sort(many["gram"].to_numpy(np.int64).view(np.uint64))
+    return np.sort(many["gram"].to_numpy().view(np.uint64))
 
 
 def signatures(docs: DataFrame, size: int, percent: int, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id, h, n, node, grp, prefix)`` of every row.
+    """``(id, h, n, node, grp, prefix)`` and a sketch of every row.
 
     ``n`` is the size of its set, ``node`` a 128-bit name of the set, ``grp`` one of size and prefix and
     ``h`` a hash of the text by which the text is found again. Rows without words have a null node.
@@ -97,33 +102,36 @@ def signatures(docs: DataFrame, size: int, percent: int, id: str = "doc_id", tex
 
     def batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, nodes, groups, prefixes = [], [], [], []
+            sizes, nodes, groups, prefixes, sketches = [], [], [], [], []
             for s in shingle_sets(b.column(2), size):
                 n = len(s)
                 keep = min(n, _prefix_length(n, percent))
-                rare = s
+                order = (s >> np.uint64(2)).view(np.int64)
                 if len(common):
                     at = np.minimum(np.searchsorted(common, s), len(common) - 1)
-                    is_common = common[at] == s
-                    rare = np.concatenate([s[~is_common], s[is_common]])
-                prefix = rare[:keep]
+                    order = np.sort(np.where(common[at] == s, order + (1 << 62), order))
+                prefix = order[:keep]
                 sizes.append(n)
                 nodes.append(blake2b(s.tobytes(), digest_size=16).digest() if n else None)
                 name = blake2b(prefix.tobytes(), digest_size=8, salt=n.to_bytes(8, "big")).digest()
                 groups.append(int.from_bytes(name, "big", signed=True))
-                prefixes.append(prefix.view(np.int64))
+                prefixes.append(prefix)
+                parity = np.bincount((s & np.uint64(64 * len(_SKETCH) - 1)).view(np.int64), minlength=64 * len(_SKETCH)) & 1
+                sketches.append(np.packbits(parity.astype(np.uint8)).view(np.int64))
             ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
             flat = pa.array(np.concatenate([np.zeros(0, np.int64), *prefixes]))
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
                     pa.array(groups, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat),
+                    *(pa.array([k[i] for k in sketches], pa.int64()) for i in range(len(_SKETCH))),
                 ],
-                names=["id", "h", "n", "node", "grp", "prefix"],
+                names=["id", "h", "n", "node", "grp", "prefix", *_SKETCH],
             )
 
     rows = docs.select(F.col(id).cast("long").alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-    return rows.mapInArrow(batch, "id long, h long, n long, node binary, grp long, prefix array<long>")
+    longs = "".join(f", {c} long" for c in _SKETCH)
+    return rows.mapInArrow(batch, f"id long, h long, n long, node binary, grp long, prefix array<long>{longs}")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -153,6 +161,16 @@ def _fits(a: str, b: str, percent: int):
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * most >= percent * (na + nb))
 
 
+def _sketches_fit(percent: int):
+    """Filter of two sets ``a`` and ``b`` on their sketches.
+
+    A bit of a sketch is the parity of the n-grams that fall on it, so sketches differ in at most as many
+    bits as the sets differ in n-grams; and similar sets may only differ in so many.
+    """
+    apart = sum((F.bit_count(F.col(f"a{s}").bitwiseXOR(F.col(f"b{s}"))) for s in _SKETCH), F.lit(0))
+    return (100 + percent) * apart <= (100 - percent) * (F.col("an") + F.col("bn"))
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -162,51 +180,43 @@ def links(docs: DataFrame, rows: DataFrame, size: int, percent: int, text: str =
     full = rows.where("n > 0")
     groups = full.groupBy("grp", "n").agg(F.first("prefix").alias("prefix"), F.count("*").alias("copies"))
     listed = groups.select("grp", F.explode("prefix").alias("gram"))
-    shared = listed.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1").select("gram")
+    shared = listed.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1")
     # Only what is shared gets its size and position.
     lists = stored(
         listed.join(shared, "gram")
         .join(groups, "grp")
-        .select("gram", "grp", "n", (F.array_position("prefix", F.col("gram")) - 1).alias("pos"), "copies"),
+        .select("gram", "k", "grp", "n", (F.array_position("prefix", F.col("gram")) - 1).alias("pos"), "copies"),
         "lists",
     )
-    nodes = stored(full.groupBy("node").agg(F.min("grp").alias("grp"), F.min("h").alias("h")), "nodes")
+    own = [F.first(c).alias(c) for c in ("n", *_SKETCH)]
+    nodes = stored(full.groupBy("node").agg(F.min("grp").alias("grp"), F.min("h").alias("h"), *own), "nodes")
     heads = nodes.groupBy("grp").agg(F.min("node").alias("head"), F.max("node").alias("tail"))
-    indexed = lists.select("grp").unionByName(heads.where("head <> tail").select("grp")).distinct()
-    wanted = nodes.join(indexed, "grp", "left_semi").select("node", "h")
-    texts = stored(
-        docs.select(F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-        .join(wanted, "h")
-        .groupBy("node")
-        .agg(F.first("text").alias("text")),
-        "texts",
-    )
 
-    level = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)))
+    # A list of two is one pair; a longer one has a leader for each size.
+    level = F.when(F.col("k") > 2, F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)))).otherwise(0)
     ranked = lists.withColumn("level", level)
     leaders = ranked.groupBy("gram", "level").agg(F.max(F.struct("copies", "grp", "n", "pos")).alias("l"))
     stars = (
         ranked.join(leaders, ["gram", "level"])
-        .select(F.col("l.grp").alias("leader"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lpos"), "grp", F.col("n").alias("mn"), F.col("pos").alias("mpos"))
-        .where((F.col("leader") != F.col("grp")) & _fits("l", "m", percent))
-        .select("leader", "grp")
+        .select(F.col("l.grp").alias("agrp"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lpos"), F.col("grp").alias("bgrp"), F.col("n").alias("mn"), F.col("pos").alias("mpos"))
+        .where((F.col("agrp") != F.col("bgrp")) & _fits("l", "m", percent))
+        .select("agrp", "bgrp")
         .distinct()
     )
-    first = _ordered(
-        stars.join(heads.select(F.col("grp").alias("leader"), F.col("head").alias("a")), "leader")
-        .join(nodes.select("grp", F.col("node").alias("b")), "grp")
-        .select("a", "b")
-        .unionByName(nodes.join(heads, "grp").select(F.col("head").alias("a"), F.col("node").alias("b")))
-    )
-    first = cut(first)
-    found = cut(_verified(first, texts, size, percent))
+    a = _side(nodes, "a").join(heads.select(F.col("head").alias("a"), (F.col("head") != F.col("tail")).alias("several")), "a")
+    stars = stars.join(a.drop("several"), "agrp").join(_side(nodes, "b"), "bgrp")
+    within = a.where("several").drop("several").join(_side(nodes, "b"), F.col("agrp") == F.col("bgrp"))
+    first = cut(_ordered(stars.unionByName(within).where(_sketches_fit(percent)).select("a", "b")))
+    found = cut(_verified(first, _texts(docs, nodes, first, text), size, percent))
 
     roots = components(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
     placed = cut(
         nodes.join(roots, "node", "left").select("node", "grp", F.coalesce("root", "node").alias("root"))
     )
-    ranges = placed.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    ranged = lists.join(ranges, "grp")
+    # A component is named by 64 bits here.
+    name = F.xxhash64("root")
+    ranges = cut(placed.groupBy("grp").agg(F.min(name).alias("low"), F.max(name).alias("high")))
+    ranged = lists.where("k > 2").join(ranges, "grp")
     mixed = ranged.groupBy("gram").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l <> h").select("gram")
     open_ = stored(ranged.join(mixed, "gram"), "open")
     a, b = (open_.select("gram", *(F.col(c).alias(f"{x}{c}") for c in ("grp", "n", "pos", "low", "high"))) for x in "ab")
@@ -216,13 +226,30 @@ def links(docs: DataFrame, rows: DataFrame, size: int, percent: int, text: str =
         .select("agrp", "bgrp")
         .distinct()
     )
-    left = placed.select(F.col("grp").alias("agrp"), F.col("node").alias("a"), F.col("root").alias("aroot"))
-    right = placed.select(F.col("grp").alias("bgrp"), F.col("node").alias("b"), F.col("root").alias("broot"))
-    within = ranges.where("low <> high").select(F.col("grp").alias("agrp"), F.col("grp").alias("bgrp"))
-    second = _ordered(
-        pairs.unionByName(within).join(left, "agrp").join(right, "bgrp").where("aroot <> broot").select("a", "b")
-    ).join(first, ["a", "b"], "left_anti")
-    return found.unionByName(cut(_verified(second, texts, size, percent)))
+    sides = [_side(nodes, x).join(placed.select(F.col("node").alias(x), F.col("root").alias(f"{x}root")), x) for x in "ab"]
+    same = ranges.where("low <> high").select(F.col("grp").alias("agrp"), F.col("grp").alias("bgrp"))
+    expanded = pairs.unionByName(same).join(sides[0], "agrp").join(sides[1], "bgrp")
+    second = _ordered(expanded.where((F.col("aroot") != F.col("broot")) & _sketches_fit(percent)).select("a", "b")).join(
+        first, ["a", "b"], "left_anti"
+    )
+    second = cut(second)
+    return found.unionByName(cut(_verified(second, _texts(docs, nodes, second, text), size, percent)))
+
+
+def _side(nodes: DataFrame, x: str) -> DataFrame:
+    """The sets as members ``x`` of groups ``xgrp``, with size and sketch."""
+    return nodes.select(F.col("node").alias(x), *(F.col(c).alias(f"{x}{c}") for c in ("grp", "n", *_SKETCH)))
+
+
+def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, text: str) -> DataFrame:
+    """``(node, text)`` of the sets in ``pairs``; other texts are not shuffled."""
+    named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = stored(nodes.join(named, "node").select("node", "h"), "wanted")
+    every = docs.select(F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    return stored(
+        rows_marked(every, "h", wanted.select("h")).join(wanted, "h").groupBy("node").agg(F.first("text").alias("text")),
+        "texts",
+    )
 
 
 def classes(
