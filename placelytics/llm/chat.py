@@ -58,15 +58,12 @@ def ancestors(nodes: DataFrame) -> list[DataFrame]:
             "tree", F.col("node").alias("up"), F.col("up").alias("next"),
             F.col("length").alias("more"), F.col("total").alias("plus"),
         )
-        tables.append(
-            cut(
-                last.join(above, ["tree", "up"], "left").select(
-                    "tree", "node", F.col("next").alias("up"),
-                    (F.col("length") + F.coalesce("more", F.lit(0))).alias("length"),
-                    (F.col("total") + F.coalesce("plus", F.lit(0.0))).alias("total"),
-                )
-            )
+        # Nodes that have reached their root are done and take no part in the join.
+        further = last.where("up IS NOT NULL").join(above, ["tree", "up"]).select(
+            "tree", "node", F.col("next").alias("up"),
+            (F.col("length") + F.col("more")).alias("length"), (F.col("total") + F.col("plus")).alias("total"),
         )
+        tables.append(cut(further.unionByName(last.where("up IS NULL"))))
     return tables
 
 
