@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -123,10 +124,14 @@ def train(texts: list[str], toxic: list[int], epochs: int = EPOCHS) -> Model:
     text_of_word, word_ids, p = _distinct_words(texts)
     texts_with = np.bincount(np.unique(word_ids * len(y) + text_of_word) // len(y))
     support = np.bincount(p.bucket, texts_with[p.piece], minlength=BUCKETS)
-    common = support[p.bucket] >= MIN_TEXTS
-    used, bucket = np.unique(p.bucket[common], return_inverse=True)
-    word = p.piece[common]
+    used = np.flatnonzero(support >= MIN_TEXTS)
+    numbers = np.full(BUCKETS, -1, np.int32)
+    numbers[used] = np.arange(len(used))
+    bucket = numbers[p.bucket]
+    word = p.piece[bucket >= 0]
+    bucket = bucket[bucket >= 0]
     grams = np.bincount(p.piece, minlength=len(texts_with))
+    del p
     firsts = np.searchsorted(text_of_word, np.arange(len(y) + 1))
     count = -(-np.diff(firsts) // PIECE)
     first_piece = np.concatenate([[0], np.cumsum(count)])
@@ -202,10 +207,16 @@ def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "
         .groupBy("key")
         .agg(F.max(F.struct("text", "toxic")).alias("row"))
         .select("key", "row.*")
-        .toPandas()
-        .sort_values("key")
     )
-    return train(sample["text"].tolist(), sample["toxic"].tolist())
+
+    def learned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat([pd.DataFrame({"key": [], "text": [], "toxic": []}), *batches]).sort_values("key")
+        model = train(rows["text"].tolist(), rows["toxic"].astype(int).tolist())
+        yield pd.DataFrame({"margins": [model.margins.tobytes()], "bias": [model.bias]})
+
+    # The sample is bounded, so one task can hold it; the driver only gets the model, 1 MB.
+    model = sample.repartition(1).mapInPandas(learned, "margins binary, bias double").first()
+    return Model(np.frombuffer(model.margins, np.float32), model.bias) if model else train([], [])
 
 
 def score(docs: DataFrame, model: Model, *, id: str = "doc_id", text: str = "text") -> DataFrame:
