@@ -60,7 +60,7 @@ def families(seed):
             places = [rng.randrange(len(base.split())) for _ in range(rng.choice([0, 1, 1, 2, 3, 6]))]
             text = edge.edited(text if family % 3 == 0 else base, places, rng)
             cut = text.split()
-            if rng.random() < 0.2:
+            if rng.random() < 0.2 and len(cut) > 6:
                 text = " ".join(cut[: len(cut) - 2])
             rows.append((len(rows), f"{common} {text}" if rng.random() < 0.4 else text))
     rows += [(len(rows) + i, f"{common} {edge.prose(rng.choice([1, 2, 5, 30]), rng)}") for i in range(40)]
