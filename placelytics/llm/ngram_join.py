@@ -215,9 +215,12 @@ def links(docs: DataFrame, rows: DataFrame, size: int, percent: int, text: str =
     )
     # A component is named by 64 bits here.
     name = F.xxhash64("root")
-    ranges = cut(placed.groupBy("grp").agg(F.min(name).alias("low"), F.max(name).alias("high")))
-    ranged = lists.where("k > 2").join(ranges, "grp")
-    mixed = ranged.groupBy("gram").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l <> h").select("gram")
+    several = (F.count("*") > 1).alias("several")
+    ranges = cut(placed.groupBy("grp").agg(F.min(name).alias("low"), F.max(name).alias("high"), several))
+    ranged = lists.join(ranges, "grp")
+    # A list of two groups of one set each is done: its one pair has been verified.
+    spans = [F.min("low").alias("l"), F.max("high").alias("h"), F.max("several").alias("several"), F.max("k").alias("k")]
+    mixed = ranged.groupBy("gram").agg(*spans).where("l <> h AND (k > 2 OR several)").select("gram")
     open_ = stored(ranged.join(mixed, "gram"), "open")
     a, b = (open_.select("gram", *(F.col(c).alias(f"{x}{c}") for c in ("grp", "n", "pos", "low", "high"))) for x in "ab")
     across = (F.col("alow") != F.col("blow")) | (F.col("alow") != F.col("ahigh")) | (F.col("blow") != F.col("bhigh"))
