@@ -2,7 +2,7 @@
 
 A value is read as a number below the size of its format's value space, permuted there by a keyed
 Feistel network and written back in the same format: a card stays a card with a right check
-digit, a phone number a dialable one, a date a date. The permutation depends on the key and the kind
+digit, a dialable phone number a dialable one, a date a date. The permutation depends on the key and the kind
 alone, so equal values get equal pseudonyms in every document, however they are punctuated, and no
 table of values is kept or joined. It is a bijection: unlike values stay unlike.
 """
@@ -61,7 +61,7 @@ def _redrawn(shape: str, digits: str) -> str:
 
 def _card(found: str, key: bytes) -> str | None:
     digits = re.sub(r"\D", "", found)
-    if not 13 <= len(digits) <= 19 or not luhn_ok(digits) or digits[0] == "0" or len(set(digits)) == 1:
+    if not 13 <= len(digits) <= 19 or not luhn_ok(digits) or len(set(digits)) == 1:
         return None
     # The first digit, which names the network, and the length stay.
     n = len(digits) - 2
@@ -70,16 +70,38 @@ def _card(found: str, key: bytes) -> str | None:
 
 
 def _phone_ok(number: int) -> bool:
+    """Whether a North American number can be dialled."""
     area, exchange = number // 10**7, number // 10**4 % 1000
     return area >= 200 and exchange >= 200 and area % 100 != 11 and exchange % 100 != 11
 
 
+#: What forms print in place of a number, and nobody can have.
+_NO_PHONES = (0, 1_111_111_111)
+_TWO_DIGIT_COUNTRIES = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66"
+    " 81 82 84 86 90 91 92 93 94 95 98".split()
+)
+
+
+def _country(digits: str) -> str:
+    return digits[:1] if digits[0] in "17" else digits[:2] if digits[:2] in _TWO_DIGIT_COUNTRIES else digits[:3]
+
+
 def _phone(found: str, key: bytes) -> str | None:
+    """The country code stays. In North America numbers that can be dialled go to such, and others to others."""
     digits = re.sub(r"\D", "", found)
-    country, number = digits[:-10], int(digits[-10:])
-    if country not in ("", "1") or not _phone_ok(number):
+    country = _country(digits) if found[0] == "+" else digits[:-10]
+    rest = digits[len(country) :]
+    number, n = int(rest), len(rest)
+    if country not in ("", "1"):
+        if country == "7" and n != 10:
+            return None
+        return _redrawn(found, country + f"{permuted(number, 10**n, key + b'phone%d+' % n + country.encode()):0{n}}")
+    if n != 10 or number in _NO_PHONES:
         return None
-    return _redrawn(found, country + str(permuted(number, 10**10, key + b"phone", _phone_ok)))
+    dialled = _phone_ok(number)
+    new = permuted(number, 10**10, key + b"phone", lambda x: x not in _NO_PHONES and _phone_ok(x) == dialled)
+    return _redrawn(found, f"{country}{new:010}")
 
 
 def _ssn_ok(number: int) -> bool:
@@ -110,15 +132,25 @@ def _iban(found: str, key: bytes) -> str | None:
 
 
 def _ip_ok(number: int) -> bool:
+    """Whether an address can be that of a host on the public net."""
     return 0 < number >> 24 < 224 and number >> 24 not in (10, 127)
 
 
+#: 10.0.0.1, the gateway of any number of private nets.
+_NO_IP = 10 << 24 | 1
+
+
 def _ip(found: str, key: bytes) -> str | None:
+    """Public addresses go to public ones, and others to others."""
     parts = [int(p) for p in found.split(".")]
-    number = int.from_bytes(bytes(parts), "big") if max(parts) < 256 else 0
-    if not _ip_ok(number):
+    if max(parts) > 255:
+        return None
+    number = int.from_bytes(bytes(parts), "big")
+    if number == _NO_IP:
         return None
-    return ".".join(map(str, permuted(number, 1 << 32, key + b"ip", _ip_ok).to_bytes(4, "big")))
+    public = _ip_ok(number)
+    new = permuted(number, 1 << 32, key + b"ip", lambda x: x != _NO_IP and _ip_ok(x) == public)
+    return ".".join(map(str, new.to_bytes(4, "big")))
 
 
 _FIRST, _DAYS = dt.date(1900, 1, 1).toordinal(), 200 * 365 + 48
@@ -167,7 +199,11 @@ KINDS: dict[str, tuple[str, Callable[[str, bytes], str | None]]] = {
     "ip": (r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)", _ip),
     "ssn": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _ssn),
     "card": (r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)", _card),
-    "phone": (r"(?<![\d+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)", _phone),
+    "phone": (
+        r"(?<![\d+])(?:(?:(?:\+\d{1,3}|1)[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
+        r"|\+[1-9](?:[ .()/-]{0,2}\d){7,14}(?!\d|\.\d))",
+        _phone,
+    ),
 }
 _ANY = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, (pattern, _) in KINDS.items()))
 _HINT = re.compile(r"[0-9@]")

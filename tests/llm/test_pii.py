@@ -1,6 +1,8 @@
 import datetime as dt
+import os
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -51,6 +53,40 @@ def test_invalid_values_stay(text):
     assert pii.pseudonymised(text) == (text, 0)
 
 
+@pytest.mark.parametrize(
+    "value",
+    [
+        "+1 (017) 555-7713", "017-555-7713", "211 911 0000", "+44 20 7946 0958", "+44 (207) 946-0958", "+49 30 901820",
+        "+33123456789", "+13865553733", "+358 9 1234567", "233.254.104.120", "127.204.92.12", "0.1.2.3", "10.20.30.40",
+        "255.255.255.255", "0000 0000 0000 0018",
+    ],
+)
+def test_every_value_of_the_format_is_replaced(value):
+    new = swapped(value)
+    if "." not in value:
+        assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", value)
+    assert swapped(new) != new
+    for country in ("+1 ", "+44 ", "+49 ", "+33", "+358 "):
+        assert new.startswith(country) == value.startswith(country)
+
+
+def test_country_code_does_not_unlink():
+    assert re.sub(r"\D", "", swapped("+13865553733")) == re.sub(r"\D", "", swapped("+1 (386) 555-3733"))
+
+
+def test_no_phone_or_address_of_the_documents_stays():
+    table = "/root/testdata/sf0.01/documents.parquet"
+    if not os.path.exists(table):
+        pytest.skip("no test tables")
+    plain = re.compile(r"\+\d{1,3} \(\d{3}\) \d{3}-\d{4}|(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.])")
+    seen = 0
+    for text in filter(None, pq.read_table(table, columns=["text"])["text"].to_pylist()):
+        old = plain.findall(text)
+        seen += len(old)
+        assert not old or not set(old) & set(plain.findall(pii.pseudonymised(text)[0]))
+    assert seen > 10
+
+
 @given(st.integers(1, 400), st.binary(min_size=1, max_size=8))
 def test_permutation_is_a_bijection(size, key):
     assert sorted(pii.permuted(x, size, key) for x in range(size)) == list(range(size))
