@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from math import isqrt
 
@@ -205,27 +205,86 @@ KINDS: dict[str, tuple[str, Callable[[str, bytes], str | None]]] = {
         _phone,
     ),
 }
-_ANY = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, (pattern, _) in KINDS.items()))
+_ANY = re.compile("|".join(f"(?:{pattern})" for pattern, _ in KINDS.values()))
+_PATTERNS = {kind: re.compile(pattern) for kind, (pattern, _) in KINDS.items()}
+#: A part of a longer run of digits counts as a card only if written like one.
+_CARD_LIKE = re.compile(r"\d{13,19}|\d{4,}([ -])\d{3,}(?:\1\d{3,})*(?:\1\d+)?")
+#: Length of an IBAN by country.
+_IBAN_LENGTHS = {
+    item[:2]: int(item[2:])
+    for item in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29"
+        " ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20"
+        " LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29"
+        " PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+        " YE30"
+    ).split()
+}
 _HINT = re.compile(r"[0-9@]")
+_OTHERS = [kind for kind in KINDS if kind != "phone"]
+
+
+def _ends(kind: str, text: str, start: int, longest: int) -> list[int]:
+    """Where a value that starts at ``start`` may end: at the end of a group, the longest first."""
+    ends = [longest]
+    if kind in ("iban", "card", "phone"):
+        ends += [
+            p for p in range(longest - 1, start, -1)
+            if text[p - 1].isalnum() and not text[p].isalnum() and _PATTERNS[kind].fullmatch(text, start, p)
+        ]
+    if kind == "iban":
+        length = _IBAN_LENGTHS.get(text[start : start + 2])
+        ends.sort(key=lambda p: p - start - text.count(" ", start, p) != length)
+    return ends
 
 
 def pseudonymised(text: str, key: bytes = KEY) -> tuple[str, int]:
-    """``text`` with its valid values replaced, and their number. Text without any comes back as it is."""
+    """``text`` with its valid values replaced, and their number. Text without any comes back as it is.
+
+    Where the longest match of a kind fails its check, its shorter ends and the other kinds are tried,
+    and then the places behind its start.
+    """
     if not _HINT.search(text):
         return text, 0
-    done = 0
 
     @lru_cache(maxsize=1024)
     def new(kind: str, found: str) -> str | None:
         return KINDS[kind][1](found, key)
 
-    def swap(match: re.Match) -> str:
-        nonlocal done
-        value = new(match.lastgroup, match[0])
-        done += value is not None
-        return match[0] if value is None else value
-
-    return _ANY.sub(swap, text), done
+    def value_at(start: int, tried: int, kinds: Iterable[str]) -> tuple[int, str | None]:
+        """The end and the pseudonym of the value at ``start``; without one, the end of what was matched."""
+        furthest = start
+        for kind in kinds:
+            match = _PATTERNS[kind].match(text, start)
+            if match is None:
+                continue
+            furthest = max(furthest, match.end())
+            for end in _ends(kind, text, start, match.end()):
+                part = end < match.end() or start < tried
+                if kind == "card" and part and not _CARD_LIKE.fullmatch(text, start, end):
+                    continue
+                if kind == "phone" and match[0][0] == "+" and cuts(start, end):
+                    continue
+                value = new(kind, text[start:end])
+                if value is not None:
+                    return end, value
+        return furthest, None
+
+    def cuts(start: int, end: int) -> bool:
+        """Whether another value starts in a phone number of open length and ends with it or behind it."""
+        inner = (p for p in range(start + 1, end) if text[p].isdigit() and not text[p - 1].isalnum())
+        return any(found[1] is not None and found[0] >= end for found in (value_at(p, end, _OTHERS) for p in inner))
+
+    pieces, done, at, copied, tried = [], 0, 0, 0, 0
+    while match := _ANY.search(text, at):
+        start = match.start()
+        end, value = value_at(start, tried, KINDS)
+        if value is None:
+            tried, at = end if start >= tried else tried, start + 1
+        else:
+            pieces += text[copied:start], value
+            done, at, copied = done + 1, end, end
+    return "".join([*pieces, text[copied:]]) if done else text, done
 
 
 def pseudonymise(docs: DataFrame, id: str = "doc_id", text: str = "text", key: bytes = KEY) -> DataFrame:

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 import re
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -87,6 +88,47 @@ def test_no_phone_or_address_of_the_documents_stays():
     assert seen > 10
 
 
+CARD = "4111 1111 1111 1111"
+
+
+@pytest.mark.parametrize(
+    "text, values",
+    [
+        *((f"{CARD} {n}", [CARD]) for n in (124, 125, 7, 12)),
+        (f"{CARD}-12/27", [CARD]),
+        (f"12 {CARD}", [CARD]),
+        ("1234 4111111111111111", ["4111111111111111"]),
+        (f"{CARD} 386-555-3733", [CARD, "386-555-3733"]),
+        ("386-555-3733 386-555-3734", ["386-555-3733", "386-555-3734"]),
+        ("BE68539007547034 EUR", ["BE68539007547034"]),
+        ("ES91 2100 0418 4502 0005 1332 EUR", ["ES91 2100 0418 4502 0005 1332"]),
+        (f"BE68 5390 0754 7034 {CARD}", ["BE68 5390 0754 7034", CARD]),
+        (f"AB12 {CARD}", [CARD]),
+        (f"2021-02-30 {CARD}", [CARD]),
+        (f"+33 1 23 45 67 89 {CARD}", ["+33 1 23 45 67 89", CARD]),
+        ("+44 20 7946 0958 190.137.223.204", ["+44 20 7946 0958", "190.137.223.204"]),
+        ("+1 386 555 3733 190 20", ["+1 386 555 3733"]),
+    ],
+)
+def test_values_beside_other_text_are_found(text, values):
+    expected = text
+    for value in values:
+        expected = expected.replace(value, pii.pseudonymised(value)[0])
+    assert pii.pseudonymised(text) == (expected, len(values))
+
+
+def test_rows_of_small_numbers_stay():
+    text = " ".join(str(i % 31) for i in range(12, 60))
+    assert pii.pseudonymised(text) == (text, 0)
+
+
+def test_long_runs_of_digits_take_linear_time():
+    began = time.time()
+    for text in ("1111 2222 " * 20_000, "+44 1 " * 20_000, "AB12 CD34 " * 20_000, "1" * 200_000):
+        pii.pseudonymised(text)
+    assert time.time() - began < 60
+
+
 @given(st.integers(1, 400), st.binary(min_size=1, max_size=8))
 def test_permutation_is_a_bijection(size, key):
     assert sorted(pii.permuted(x, size, key) for x in range(size)) == list(range(size))
