@@ -38,8 +38,8 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def _record_id(page: Column) -> Column:
-    """A URN that only depends on the page."""
-    parts = F.md5(F.concat(F.lit("page:"), F.coalesce(page.cast("string"), F.lit("null"))))
+    """A URN that only depends on the page and the digest of its payload, so that a page may have several payloads."""
+    parts = F.md5(F.concat(F.lit("page:"), F.coalesce(page.cast("string"), F.lit("null")), F.lit(":"), F.hex("digest")))
     return F.regexp_replace(parts, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "<urn:uuid:$1-$2-$3-$4-$5>")
 
 
@@ -59,8 +59,8 @@ def write_archives(
 
     Of rows with equal payloads of at least ``min_bytes`` bytes, that with the largest id is a
     response and the others are revisits of it; rows with a smaller payload are responses. A null
-    payload is empty. Rows that repeat both id and payload each get the same record; a null id loses
-    to any other. An empty table writes no record.
+    payload is empty. Rows that repeat both id and payload each get the same record; rows that repeat
+    the id alone have records of their own; a null id loses to any other. An empty table writes no record.
     """
     require(pages, id, url, html)
     payload = F.coalesce(F.col(html).cast("binary"), F.lit(b""))

@@ -57,6 +57,19 @@ def test_many_archives(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, warc.resolve_revisits(warc.read_archives(spark, folder)).collect()), key=str) == brute(rows)
 
 
+def test_page_with_several_payloads(spark, tmp_path):
+    rows = [(9, "http://a/9", "one"), (9, "http://a/9", "another"), (9, "http://b/9", "another"), (9, None, None), (1, "u", "one"), (2, "u", "another"), (3, "u", "")]
+    rows += [(None, "n", "of none"), (None, "n", "one"), (None, "n", "another of none")]
+    folder = str(tmp_path / "archives")
+    warc.write_archives(pages(spark, rows), folder)
+    records = warc.read_archives(spark, folder)
+    found = [tuple(r) for r in warc.resolve_revisits(records).collect()]
+    assert sorted((r for r in found if r[0] is not None), key=str) == brute(rows[:7])
+    assert sorted((r[1], r[3], r[4]) for r in found if r[0] is None) == [(3, "revisit", 9), (7, "response", None), (15, "response", None)]
+    ids = {(r.record_id, r.payload_digest) for r in records.collect()}
+    assert len(ids) == len({i for i, _ in ids})
+
+
 def test_broken_archive_is_refused():
     with pytest.raises(ValueError, match="no WARC record"):
         list(warc._records(b"HTTP\r\n\r\n"))
