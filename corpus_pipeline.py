@@ -1,7 +1,7 @@
 """From raw documents to a mixed training set, stage by stage.
 
 A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; it is written as Parquet and read back
-before the next. All but the last return the columns of ``documents``.
+before the next. All return the columns of ``documents``, and the last further ones.
 """
 
 from __future__ import annotations
@@ -34,8 +34,11 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How often each document is taken so that the sources meet their targets."""
-    return mixing.mix(docs)
+    """The documents that are taken so that the sources meet their targets, whole, with their copies.
+
+    A document with two copies is one row; ``mixing.mixed`` without ``repeat=False`` makes it two.
+    """
+    return mixing.mixed(docs, repeat=False)
 
 
 STAGES = [

@@ -220,3 +220,36 @@ def mix(
             _rate(cap).alias("rate"), "copies", (F.col("copies") * F.col("size")).alias("taken"),
         )
     )
+
+
+def mixed(docs: DataFrame, *, id: str = "doc_id", source: str = "source", repeat: bool = True, **options) -> DataFrame:
+    """The mixed training set: every document as often as ``mix`` takes it, those with no copies left out.
+
+    Rows keep all columns of ``docs`` and get ``size``, ``source_size``, ``target``, ``rate``, ``copies``
+    and ``taken``, called ``mix_...`` where ``docs`` has such a column, and ``copy``, from 1. With
+    ``repeat`` off a document is one row whatever its copies, without ``copy``. ``options`` are those
+    of ``mix``. Rows that repeat id, source and size share out their copies; none is lost.
+    """
+    size, text = options.get("size"), options.get("text", "text")
+    words = F.coalesce(word_count(F.col(text)) if size is None else size, F.lit(0)).cast("long")
+    # Structs with a null in the same place are equal, and one key serves the window and the join.
+    own = F.struct(F.col(id).alias("id"), F.col(source).cast("string").alias("source"), words.alias("size"))
+    whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"), own.alias("key"))
+    dealt = mix(docs, id=id, source=source, **options)
+    facts = ["source_size", "target", "rate"]
+    shares = (
+        dealt.select(F.struct(F.col(id).alias("id"), F.col(source).alias("source"), "size").alias("to"), *facts, "copies")
+        .groupBy("to", "copies")
+        .agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in facts))
+        .withColumn("upto", F.sum("n").over(Window.partitionBy("to").orderBy("copies")))
+    )
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("doc")))
+    found = whole.withColumn("rank", rank).join(
+        shares, (F.col("key") == F.col("to")) & (F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n"))
+    )
+    made = {"size": F.col("key.size"), **{c: F.col(c) for c in facts}, "copies": F.col("copies"), "taken": F.col("copies") * F.col("key.size")}
+    found = found.where("copies > 0")
+    if repeat:
+        found = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        made["copy"] = F.col("copy")
+    return found.select("doc.*", *(c.alias(f"mix_{name}" if name in docs.columns else name) for name, c in made.items()))

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 
@@ -89,3 +90,30 @@ def test_empty_and_wordless_tables(spark):
     assert mixing.mix(edge.empty(spark)).collect() == []
     rows = mixing.mix(edge.documents(spark, [(1, None, "a", None, None, None), (2, "", None, None, None, None)])).collect()
     assert [(r.taken, r.target) for r in rows] == [(0, 0.0), (0, 0.0)]
+
+
+def times(rows):
+    return Counter((r.doc_id, r.text, r.source) for r in rows)
+
+
+def test_mixed_documents_are_whole_and_repeated(spark):
+    rows = corpus(300)
+    docs = edge.documents(spark, rows)
+    copies = {r.doc_id: r.copies for r in mixing.mix(docs).collect()}
+    assert set(copies.values()) == {0, 1, 2}
+    out = mixing.mixed(docs).collect()
+    assert times(out) == Counter({(r[0], r[1], r[2]): copies[r[0]] for r in rows if copies[r[0]]})
+    assert all(r.copies == copies[r.doc_id] and 1 <= r.copy <= r.copies and r.taken == r.copies * r.mix_size for r in out)
+    once = mixing.mixed(docs, repeat=False).collect()
+    assert times(once) == Counter((r[0], r[1], r[2]) for r in rows if copies[r[0]])
+
+
+def test_mixed_edges(spark):
+    docs = edge.documents(spark)
+    taken = Counter()
+    for r in mixing.mix(docs).collect():
+        taken[r.doc_id, r.source, r["size"]] += r.copies
+    out = mixing.mixed(docs).collect()
+    assert Counter((r.doc_id, r.source, r.mix_size) for r in out) == +taken
+    assert {tuple(r)[:6] for r in out} <= set(edge.ROWS)
+    assert mixing.mixed(edge.empty(spark)).collect() == []

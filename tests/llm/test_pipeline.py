@@ -70,3 +70,9 @@ def test_run_is_the_stages(spark, folder):
     rows = corpus_pipeline.run(spark, folder).collect()
     assert rows and all(r.taken == r.copies * r["size"] for r in rows)
     assert len({r.doc_id for r in rows}) == len(rows)
+
+
+def test_run_yields_the_documents_that_are_taken(spark, folder):
+    rows = corpus_pipeline.run(spark, folder).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    assert rows and all(r.copies > 0 and r.text == texts[r.doc_id] for r in rows)
