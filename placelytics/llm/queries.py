@@ -14,9 +14,12 @@ from placelytics.llm import (
     exact_dedup,
     mixing,
     ngram_join,
+    packing,
     pii,
+    spelling,
     substring,
     toxicity,
+    trie,
     url_filter,
     warc,
 )
@@ -107,6 +110,44 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations share their first turns with the first of every five; how many is a checksum of their id."""
+    own = trie.sequences(_table(spark, sf_dir, "conversations"))
+    shared = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    own = own.withColumn("shared", shared).withColumn("first_id", F.col("conv_id") - F.col("conv_id") % 5)
+    firsts = own.select(
+        F.col("conv_id").alias("first_id"), F.substring("ids", 1, 8 * trie.ID_BYTES).alias("first_ids"), F.slice("sizes", 1, 8).alias("first_sizes")
+    )
+    cut = F.col("shared") * trie.ID_BYTES
+    none = F.lit(b""), F.array().cast("array<bigint>")
+    ids = F.concat(
+        F.substring(F.coalesce("first_ids", none[0]), F.lit(1), cut),
+        F.substring(F.col("ids"), cut + 1, F.octet_length("ids")),
+    )
+    sizes = F.concat(
+        F.slice(F.coalesce("first_sizes", none[1]), F.lit(1), F.col("shared")),
+        F.slice("sizes", F.col("shared") + 1, F.greatest(F.size("sizes"), F.lit(0))),
+    )
+    return trie.trie(own.join(firsts, "first_id", "left").select("conv_id", ids.alias("ids"), sizes.alias("sizes")))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 31st run of letters, by a checksum of document and run, is spelled with one letter less."""
+    runs = spelling.long_runs(_table(spark, sf_dir, "documents"))
+    mark = F.crc32(F.concat("id", F.lit(":"), "run").cast("binary"))
+    size = F.char_length("run")
+    at = (mark % size).cast("int")
+    cut = F.concat(F.substring(F.col("run"), F.lit(1), at), F.substring(F.col("run"), at + 2, size))
+    return spelling.variants(spelling.vocabulary(runs, F.when(mark % 31 == 0, cut).otherwise(F.col("run"))))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary, end=2, limit=1024)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -120,11 +161,24 @@ QUERIES: dict[str, Query] = {
         op8_source_mixing,
         op9_pii_pseudonyms,
         op10_exact_dedup,
+        op11_prefix_trie,
+        op12_spelling_variants,
+        op13_best_fit_packing,
     )
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: CRC-32 of a string of code points up to U+07FF; ``crc_table`` must be in scope.
+_CRC_TABLE = """crc_table AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, repeat([CAST(0 AS BIGINT)], 8)),
+                lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+        )"""
+_CRC = """xor(CAST(4294967295 AS BIGINT), list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+    string_split({}, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)]
+    ELSE [CAST(192 + (unicode(x) >> 6) AS BIGINT), CAST(128 + (unicode(x) & 63) AS BIGINT)] END))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"""
+
 ORACLES: dict[str, str] = {
     "op1_ngram_join": rf"""
         WITH RECURSIVE doc AS (
@@ -235,4 +289,65 @@ ORACLES: dict[str, str] = {
             doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
         FROM doc WINDOW same AS (PARTITION BY t)
     """,
+    "op11_prefix_trie": f"""
+        WITH {_CRC_TABLE}, own AS (
+            SELECT conv_id, list(struct_pack(d := sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))),
+                n := octet_length(encode(coalesce(text, '')))) ORDER BY turn NULLS FIRST,
+                sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) AS t
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ), cut AS (SELECT conv_id, CAST({_CRC.format("CAST(conv_id AS VARCHAR)")} % 9 AS INT) AS h
+            FROM (SELECT conv_id FROM own), crc_table
+        ), rebuilt AS (
+            SELECT c.conv_id, list_concat(coalesce(f.t, [])[1:c.h], o.t[c.h + 1:]) AS t
+            FROM cut c JOIN own o USING (conv_id) LEFT JOIN own f ON f.conv_id = c.conv_id - c.conv_id % 5
+        ), path AS (
+            SELECT conv_id, len(t) AS size, t, unnest(generate_series(0, len(t))) AS depth FROM rebuilt
+        ), keyed AS (
+            SELECT conv_id, size, depth, array_to_string(list_transform(t[1:depth], lambda x: x.d), '') AS key,
+                CASE WHEN depth > 0 THEN array_to_string(list_transform(t[1:depth - 1], lambda x: x.d), '') END AS parent,
+                CASE WHEN depth > 0 THEN t[depth].n ELSE 0 END AS bytes
+            FROM path
+        ), node AS (
+            SELECT key, any_value(parent) AS parent, depth, any_value(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n_convs,
+                string_agg(CASE WHEN size = depth THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ends
+            FROM keyed GROUP BY key, depth
+        ), sons AS (SELECT parent AS key, count(*) AS n FROM node WHERE parent IS NOT NULL GROUP BY parent),
+        sums AS (
+            SELECT substr(key, 1, 64 * up) AS key, sum(CASE WHEN n IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * bytes) AS saved
+            FROM (SELECT node.*, sons.n, unnest(generate_series(0, depth)) AS up FROM node LEFT JOIN sons USING (key)) GROUP BY 1
+        )
+        SELECT node.conv_id, node.depth, above.conv_id AS parent_conv_id, node.n_convs, coalesce(sons.n, 0) AS n_children,
+            CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(node.ends, '')) AS ends_sha256
+        FROM node JOIN sums USING (key) LEFT JOIN sons USING (key) LEFT JOIN node above ON above.key = node.parent
+    """,
+    "op12_spelling_variants": rf"""
+        WITH {_CRC_TABLE}, run AS (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, {_LOWER.format("unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+'))")} AS run
+            FROM documents
+        ), counted AS (SELECT id, run, count(*) AS n FROM run WHERE length(run) >= 7 GROUP BY id, run),
+        marked AS (SELECT run, n, {_CRC.format("concat(id, ':', run)")} AS h FROM counted, crc_table),
+        word AS (
+            SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+                SELECT n, CASE WHEN h % 31 = 0 THEN concat(substr(run, 1, CAST(h % length(run) AS INT)), substr(run, CAST(h % length(run) AS INT) + 2))
+                    ELSE run END AS word FROM marked)
+            WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+        ), place AS (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM word),
+        less AS (SELECT DISTINCT word, n, concat(substr(word, 1, i - 1), substr(word, i + 1)) AS v FROM place),
+        hole AS (SELECT word, n, i, concat(substr(word, 1, i - 1), chr(10), substr(word, i + 1)) AS v FROM place),
+        near AS (
+            SELECT less.word AS a, word.word AS b, word.n AS bn FROM less JOIN word ON word.word = v
+            UNION ALL SELECT word.word, less.word, less.n FROM less JOIN word ON word.word = v
+            UNION ALL SELECT x.word, y.word, y.n FROM hole x JOIN hole y ON x.v = y.v AND x.word <> y.word
+        ), best AS (
+            SELECT a, count(*) AS n_near, first(b ORDER BY bn DESC, b) AS b, max(bn) AS bn FROM near GROUP BY a
+        ), formed AS (
+            SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN bn >= 10 * n THEN b END AS form, CASE WHEN bn >= 10 * n THEN bn END AS form_n
+            FROM word LEFT JOIN best ON a = word
+        ), chain AS MATERIALIZED (
+            SELECT f1.word, coalesce(f6.form, f5.form, f4.form, f3.form, f2.form, f1.form, f1.word) AS root
+            FROM formed f1 LEFT JOIN formed f2 ON f2.word = f1.form LEFT JOIN formed f3 ON f3.word = f2.form
+                LEFT JOIN formed f4 ON f4.word = f3.form LEFT JOIN formed f5 ON f5.word = f4.form LEFT JOIN formed f6 ON f6.word = f5.form
+        )
+        SELECT word, form, root, n, n_near, form_n FROM formed JOIN chain USING (word)
+    """,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,9 +17,15 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder the cluster names; a folder of this process only where none is set."""
+    """The checkpoint folder the cluster names.
+
+    Where none is named, a session without executors of its own, as in tests, uses a temporary folder;
+    any other is refused, since its executors could not see such a folder.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 
@@ -36,6 +43,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """The tables of one operator call, in a folder of its own under the shared one.
+
+    A table that no returned DataFrame reads is dropped as soon as it has been used.
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.path = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written once and read back."""
+        df.write.parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def require(df: DataFrame, *columns: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
