@@ -16,6 +16,7 @@ import os
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import product
 from pathlib import Path
 
 import numpy as np
@@ -115,19 +116,27 @@ Bin = tuple[tuple[tuple[int, int], ...], int]
 
 
 def plan(counts: dict[int, int], limit: int = LIMIT) -> list[Bin]:
-    """Kinds of sequences ``(((length, pieces), ...), sequences)`` that hold all pieces, ``counts`` by length."""
-    left = np.zeros(limit + 1, np.int64)
+    """Kinds of sequences ``(((length, pieces), ...), sequences)`` that hold all pieces, ``counts`` by length.
+
+    Complements are looked for down to pieces of one token, of a third and of half a sequence, since short
+    pieces that fill sequences among themselves may be missed beside long ones, and with the parts of a sum
+    as alike or as unlike as can be; the plan of the fewest sequences is taken.
+    """
+    given = np.zeros(limit + 1, np.int64)
     for length, n in counts.items():
         if not 1 <= length <= limit:
             raise ValueError(f"no piece of {length} tokens fits")
-        left[length] = n
-    bins = [*_exact(left, limit), *_best_fit(left, limit)]
-    return bins
+        given[length] = n
+    plans = []
+    for least, alike in product((1, limit // 3 + 1, limit // 2 + 1, limit), (True, False)):
+        left = given.copy()
+        plans.append([*_exact(left, limit, least, alike), *_best_fit(left, limit)])
+    return min(plans, key=lambda bins: sum(times for _, times in bins))
 
 
-def _exact(left: np.ndarray, limit: int) -> Iterator[Bin]:
-    """Sequences that a longest piece and one, two or three others fill; takes them out of ``left``."""
-    there = left > 0
+def _exact(left: np.ndarray, limit: int, least: int, alike: bool) -> Iterator[Bin]:
+    """Sequences that a piece of ``least`` or more and up to three others fill; takes them out of ``left``."""
+    there, order = left > 0, 1 if alike else -1
     sums = np.zeros(limit + 1, np.int64)  # pairs of available lengths by their sum
     for a in np.flatnonzero(there):
         sums[2 * a : limit + 1] += there[a : limit + 1 - a]
@@ -139,10 +148,10 @@ def _exact(left: np.ndarray, limit: int) -> Iterator[Bin]:
         there[length] = False
 
     def pair(total: int, *taken: int) -> tuple[int, int] | None:
-        """Two lengths of a sum, the longer as long as can be, next to those taken."""
+        """Two lengths of a sum, next to those taken."""
         if total < 2 or not sums[total]:
             return None
-        for a in np.flatnonzero(there[-(-total // 2) : total])[::-1] + -(-total // 2):
+        for a in np.flatnonzero(there[-(-total // 2) : total])[::order] + -(-total // 2):
             if there[total - a] and enough((int(a), int(total - a), *taken)):
                 return int(a), int(total - a)
         return None
@@ -160,13 +169,13 @@ def _exact(left: np.ndarray, limit: int) -> Iterator[Bin]:
         if two:
             return two
         ends = np.flatnonzero(there[: gap - 1])
-        for a in ends[(ends * 3 >= gap) & (sums[gap - ends] > 0)][::-1]:
+        for a in ends[(ends * 3 >= gap) & (sums[gap - ends] > 0)][::order]:
             rest = pair(gap - int(a), length, int(a))
             if rest:
                 return (int(a), *rest)
         return None
 
-    for length in range(limit, 0, -1):
+    for length in range(limit, least - 1, -1):
         while left[length]:
             others = complement(length)
             if others is None:

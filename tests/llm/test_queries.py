@@ -34,6 +34,8 @@ def test_equals_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
 def test_one_row_of_each_input_row(spark, name):
     table, key = ("pages", "page_id") if "url" in name else ("documents", "doc_id")
-    rows = queries.QUERIES[name](spark, FOLDER).select(key).collect()
+    found = queries.QUERIES[name](spark, FOLDER)
+    # A document may be cut into pieces.
+    rows = (found.where("piece = 0") if "packing" in name else found).select(key).collect()
     ids = spark.read.parquet(f"{FOLDER}/{table}.parquet").select(key).collect()
     assert sorted(rows) == sorted(ids)
