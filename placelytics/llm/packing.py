@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -30,11 +32,17 @@ from placelytics.llm.shared import Scratch, require
 LIMIT = 1024
 
 #: Distinct splits whose ids a task remembers.
-_REMEMBERED = 300_000
-#: Fixed value: the public split pattern of byte-level tokenizers.
-_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Characters whose classes every version of Unicode agrees on.
+_REMEMBERED = 1_000_000
+#: Fixed value: the public split pattern of byte-level tokenizers, for characters up to U+024F but for some
+#: controls and blanks. Of these every version of Unicode knows the same letters and numbers.
+_LETTER, _NUMBER = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
+_SPLIT = (
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\t\n\r {_LETTER}{_NUMBER}]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+"
+)
 _SETTLED = r"[\t\n\r -~¡-ɏ]*"
+#: Fixed rule of byte-level tokenizers: a printable byte is named by its own character, the others in order from U+0100.
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_NAMES = {b: b if b in _PRINTED else 0x100 + sum(x not in _PRINTED for x in range(b)) for b in range(256)}
 _BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 
 
@@ -47,7 +55,6 @@ class _Encoder:
 
     def __init__(self, spec: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
@@ -55,24 +62,25 @@ class _Encoder:
         parts = json.loads(spec)
         byte_level = (parts.get("pre_tokenizer") or {}).items() >= _BYTE_LEVEL.items()
         usual = all(t["special"] for t in parts.get("added_tokens", ())) and not parts.get("normalizer")
-        self.splits = regex.compile(_SPLIT).findall if byte_level and usual and not parts["model"].get("dropout") else None
-        self.settled = regex.compile(_SETTLED).fullmatch
+        self.splits = re.compile(_SPLIT).findall if byte_level and usual and not parts["model"].get("dropout") else None
+        self.settled = re.compile(_SETTLED).fullmatch
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _split_ids(self, split: str) -> bytes:
+        """The ids of one split, whose bytes the model knows as characters."""
+        ids = [t.id for t in self.model.tokenize(split.encode().decode("latin-1").translate(_BYTE_NAMES))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
         if self.splits is None or not self.settled(text):
-            return self._whole([text])[0]
-        splits = self.splits(text)
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
-        new = list(set(splits) - self.known.keys())
-        if new:
-            self.known.update(zip(new, self._whole(new)))
-        return b"".join([self.known[s] for s in splits])
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        splits, known = self.splits(text), self.known
+        if len(known) > _REMEMBERED:
+            known.clear()
+        for split in [s for s in splits if s not in known]:
+            known[split] = self._split_ids(split)
+        return b"".join([known[s] for s in splits])
 
 
 def pieces(docs: DataFrame, vocabulary: str, end: int, limit: int = LIMIT, id: str = "doc_id", text: str = "text") -> DataFrame:
