@@ -15,6 +15,7 @@ from placelytics import schemas
 from placelytics.functions.time import month_start, on_days
 from placelytics.operators.dimensions import collapse, counted, snapshot
 from placelytics.operators.profiles import AREA, TOPIC, TOPIC_NUMBER, TOPIC_VERSION, select_topics
+from placelytics.operators.skew import split_hot
 from placelytics.operators.suppress import suppress, suppress_by_shop
 from placelytics.operators.visits import OWN_STORE, listed
 
@@ -64,10 +65,15 @@ def linked_topic(
     version: str = TOPIC_VERSION,
     number: str = TOPIC_NUMBER,
     by: Sequence[str] = SALE,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Buyers per day, place, shop, item and topic, for every pattern of the model version."""
+    """Buyers per day, place, shop, item and topic, for every pattern of the model version.
+
+    Devices of very many sales are split within the join if ``hot``, their :func:`skew.hot_cells`, is given.
+    """
     group = ["user_id", "place_id", "competitor_id", "date", *by, *TOPIC]
-    return _buyers(linked, select_topics(topics, version, number), group, min_counts)
+    seen, (chosen,), on = split_hot(linked, [select_topics(topics, version, number)], hot)
+    return _buyers(seen, chosen, group, min_counts, on)
 
 
 def _snapshot_buyers(

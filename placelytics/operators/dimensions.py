@@ -9,6 +9,8 @@ however often its id is repeated there.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,10 +23,10 @@ def collapse(dimension: DataFrame, *columns: str) -> DataFrame:
     return known.groupBy(*columns).agg(F.count(F.lit(1)).alias(COPIES))
 
 
-def valid_on(visits: DataFrame, dimension: DataFrame) -> DataFrame:
+def valid_on(visits: DataFrame, dimension: DataFrame, on: Sequence[str] = ("adid",)) -> DataFrame:
     """Visits with the device's rows that are valid on the visit date, both ends included."""
     in_force = (F.col("start_date") <= F.col("date")) & (F.col("date") <= F.col("end_date"))
-    return visits.join(dimension, "adid").where(in_force)
+    return visits.join(dimension, list(on)).where(in_force)
 
 
 def valid_between(dimension: DataFrame, first: str | None, last: str | None) -> DataFrame:

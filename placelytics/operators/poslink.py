@@ -5,17 +5,19 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placelytics import schemas
 from placelytics.functions.codes import shop_code
 from placelytics.functions.time import micros, on_days
+from placelytics.operators.skew import split_both
 from placelytics.operators.suppress import suppress
 from placelytics.operators.visits import OWN_STORE
 
-# Link tolerance and smallest published number of estimated buyers.
+# Link tolerances and smallest published number of estimated buyers.
 TOLERANCE = dt.timedelta(minutes=1)
+PAIR_TOLERANCE = dt.timedelta(minutes=3)
 VISITORS_MIN_COUNT = 2
 
 ITEM = ["shop_code", "caption", "item_name"]
@@ -92,6 +94,55 @@ def link_sales(
     )
 
 
+def link_pairs(
+    visits: DataFrame,
+    sales: DataFrame,
+    tolerance: dt.timedelta = PAIR_TOLERANCE,
+    *,
+    start: str | None = None,
+    end: str | None = None,
+    days: Iterable[str] | None = None,
+) -> DataFrame:
+    """Every pair of an own-store contact and a sale within ``tolerance`` of it, both ends included.
+
+    One row per pair with both times, ``datetime`` of the contact and ``sold_at``; repeated contacts and
+    sales give repeated pairs. :func:`link_sales` is the distinct, far smaller answer to who bought
+    what; this one is for looking at the pairs themselves, and its result is as large as they are many.
+
+    A contact lies in one slot of the length of the tolerance, a sale is offered to its own and the slots
+    beside it, so each pair meets in exactly one. A slot with very many contacts, sales or both is cut
+    into a grid of parts.
+    """
+    schemas.check(visits, schemas.VISITS, "visits")
+    schemas.check(sales, schemas.SALES, "sales")
+    reach = tolerance // dt.timedelta(microseconds=1)
+    if reach < 0:
+        raise ValueError("tolerance must not be negative")
+    width = max(reach, 1)
+
+    def slot(time: str) -> Column:
+        return F.col(time) - F.pmod(F.col(time), F.lit(width))
+
+    own = on_days(visits, start, end, days).where(F.col("competitor_id") == OWN_STORE)
+    contacts = (
+        own.withColumn("at", micros(visits, "datetime"))
+        .where(F.col("place_id").isNotNull() & F.col("at").isNotNull())
+        .select("user_id", "place_id", "competitor_id", "adid", "date", "datetime", "at", slot("at").alias("slot"))
+    )
+    offered = F.explode(F.array(slot("sold"), slot("sold") - width, slot("sold") + width)).alias("slot")
+    sold = (
+        sales.withColumn("sold", micros(sales, "datetime"))
+        .where(F.col("place_id").isNotNull() & F.col("sold").isNotNull())
+        .select("place_id", *ITEM, F.col("datetime").alias("sold_at"), "sold", offered)
+    )
+    contacts, sold, on = split_both(contacts, sold, ["place_id", "slot"])
+    return (
+        contacts.join(sold, on)
+        .where(F.abs(F.col("at") - F.col("sold")) <= reach)
+        .select("user_id", "place_id", "competitor_id", "adid", "date", "datetime", *ITEM, "sold_at")
+    )
+
+
 def linked_devices(linked: DataFrame, *, min_count: int | None = None) -> DataFrame:
     """Distinct devices with a linked sale per tenant, place, day and shop."""
     schemas.check(linked, schemas.LINKED, "linked")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from placelytics import schemas
 from placelytics.functions.time import bounds, on_days
 from placelytics.operators.dimensions import COPIES, collapse, counted, valid_between, valid_on
+from placelytics.operators.skew import split_hot
 from placelytics.operators.suppress import suppress
 from placelytics.operators.visits import PLACE
 
@@ -82,11 +83,16 @@ def profile_topic(
     pattern: str | None = TOPIC_PATTERN,
     min_count: int | None = None,
     distinct_devices: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Visitors per day, place and behaviour topic. Not suppressed unless asked for."""
+    """Visitors per day, place and behaviour topic. Not suppressed unless asked for.
+
+    Devices of very many days are split within the join if ``hot``, their :func:`skew.hot_cells`, is given.
+    """
     schemas.check(device_days, schemas.DEVICE_DAYS, "device_days")
+    seen, (chosen,), on = split_hot(device_days, [select_topics(topics, version, number, pattern)], hot)
     counts = (
-        device_days.join(select_topics(topics, version, number, pattern), "adid")
+        seen.join(chosen, on)
         .groupBy(*PLACE, "date", *TOPIC)
         .agg(counted(distinct_devices))
     )
@@ -104,6 +110,7 @@ def profile_cohort(
     pattern: str | None = TOPIC_PATTERN,
     min_count: int | None = COHORT_MIN_COUNT,
     distinct_devices: bool = False,
+    hot: DataFrame | None = None,
     start: str | None = None,
     end: str | None = None,
     days: Iterable[str] | None = None,
@@ -114,7 +121,8 @@ def profile_cohort(
 
     Each device counts once per cohort and topic row. Devices with an empty or missing cohort
     list drop out. The lists are unrolled before they are collapsed, so an id that recurs with
-    many different lists still brings each cohort to the join only once.
+    many different lists still brings each cohort to the join only once. ``hot`` splits
+    devices of very many days, once for both joins.
     """
     schemas.check(device_days, schemas.DEVICE_DAYS, "device_days")
     schemas.check(cohorts, schemas.COHORTS, "cohorts")
@@ -125,9 +133,10 @@ def profile_cohort(
     )
     interests = collapse(unrolled, "adid", "visit_category", "cohort", "start_date", "end_date")
     behaviour = select_topics(topics, version, number, pattern).withColumnRenamed(COPIES, "topic_copies")
+    seen, (interests, behaviour), on = split_hot(device_days, [interests, behaviour], hot)
     counts = (
-        valid_on(device_days, interests)
-        .join(behaviour, "adid")
+        valid_on(seen, interests, on)
+        .join(behaviour, on)
         .groupBy(*PLACE, "date", "visit_category", "cohort", *TOPIC)
         .agg(counted(distinct_devices, F.col(COPIES) * F.col("topic_copies")))
     )

@@ -263,6 +263,7 @@ WHERE t.ver = '2025-01-01' AND t.topic_number = '10' AND t.pattern = 'preference
 GROUP BY d.place_id, d.competitor_id, d.date, t.topic_id, t.pattern, t.topic_number""",
         "profile_cohort": _cohort(10),
         "profile_cohort_min2": _cohort(2),
+        "profile_cohort_split": _cohort(2),
         "covisited_monthly": _covisited("s.start_date", ""),
         "covisited_daily": _covisited("d.date", " AND s.start_date = d.date[1:7] || '-01'"),
         "topic_versions": _with() + "SELECT DISTINCT ver FROM topics",
@@ -272,6 +273,12 @@ FROM sales""",
         "link_sales_1m": _link(1),
         "link_sales_10m": _link(10),
         "link_sales_30m": _link(30),
+        "link_pairs_3m": _with(_SALES) + """
+SELECT v.user_id, v.place_id, v.competitor_id, v.adid, v.date, strftime(v.datetime, '%Y-%m-%d %H:%M:%S.%f') AS datetime,
+       s.shop_code, s.caption, s.item_name, strftime(s.datetime, '%Y-%m-%d %H:%M:%S.%f') AS sold_at
+FROM visits v JOIN sales s ON s.place_id = v.place_id
+ AND s.datetime BETWEEN v.datetime - INTERVAL 3 MINUTE AND v.datetime + INTERVAL 3 MINUTE
+WHERE v.competitor_id = 0""",
         "linked_devices": _with(_SALES, _linked(30)) + """
 SELECT user_id, place_id, competitor_id, date, caption, count(DISTINCT adid) AS count
 FROM linked GROUP BY user_id, place_id, competitor_id, date, caption""",

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placelytics.functions.time import PERIOD_COLUMNS, month_starts, on_days, report_day, week_label, whole_periods
-from placelytics.operators import buyers, movement, overlap, poslink, profiles, repeat, visits
+from placelytics.operators import buyers, movement, overlap, poslink, profiles, repeat, skew, visits
 from placelytics.sources.readers import PARTITIONS, read_linked
 from placelytics.sources.sinks import publish, with_partitions
 
@@ -130,11 +130,12 @@ def profile_reports(
     in_span = _within(start, end)
     scope = {"date": lambda name: in_span(name) and (days is None or name in days)}
     with _computed_once(visits.device_days(visits_table, config, **span)) as own, _skew_joins(own.sparkSession):
+        hot = skew.hot_cells(own, ["adid"])
         configured = visits.configured_only(own, config)
         reports = {
             "location": profiles.profile_location(own, home_work, prefectures=prefectures, **span),
-            "topic": profiles.profile_topic(configured, topics),
-            "topic_to_cohort": profiles.profile_cohort(own, cohorts, topics, category=category, **span),
+            "topic": profiles.profile_topic(configured, topics, hot=hot),
+            "topic_to_cohort": profiles.profile_cohort(own, cohorts, topics, category=category, hot=hot, **span),
         }
         for name, report in reports.items():
             keys = [c for c in report.columns if c not in ("date", "count")]
@@ -144,7 +145,7 @@ def profile_reports(
 
 @contextmanager
 def _skew_joins(spark: SparkSession) -> Iterator[None]:
-    """Split hot devices also in a join that another join on the device follows; restored at the end."""
+    """Split devices that are hot in a device table also in a join that another follows; restored at the end."""
     key = "spark.sql.adaptive.forceOptimizeSkewedJoin"
     before = spark.conf.get(key)
     spark.conf.set(key, "true")
@@ -245,7 +246,7 @@ def buyer_reports(
         "visitor": poslink.linked_visitors(linked),
         "agegender": buyers.linked_age_gender(linked, age_gender, months, min_counts),
         "location": buyers.linked_location(linked, home_work, months, min_counts),
-        "topic": buyers.linked_topic(linked, topics, min_counts),
+        "topic": buyers.linked_topic(linked, topics, min_counts, hot=skew.hot_cells(linked, ["adid"])),
         "duplication": buyers.linked_overlap(linked, visits_table, min_counts, start=start, end=end),
     }
     for name, report in reports.items():

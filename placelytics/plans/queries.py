@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from placelytics import fixtures
 from placelytics.fixtures import Tables
-from placelytics.operators import buyers, movement, overlap, poslink, profiles, repeat, visits
+from placelytics.operators import buyers, movement, overlap, poslink, profiles, repeat, skew, visits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,12 @@ def _cohort(**options) -> Callable[[Tables], DataFrame]:
     )
 
 
+def _split_cohort(t: Tables) -> DataFrame:
+    days = _device_days(t)
+    hot = skew.hot_cells(days, ["adid"])
+    return profiles.profile_cohort(days, t.cohorts, t.topics, category=fixtures.CATEGORY, min_count=2, hot=hot)
+
+
 def _covisited(grain: str) -> Callable[[Tables], DataFrame]:
     return lambda t: movement.covisited_spots(
         _all_days(t),
@@ -70,6 +76,12 @@ def _link(tolerance: dt.timedelta = fixtures.LINK) -> Callable[[Tables], DataFra
     return lambda t: poslink.link_sales(t.visits, _sales(t), tolerance)
 
 
+def _pairs(t: Tables) -> DataFrame:
+    pairs = poslink.link_pairs(t.visits, _sales(t))
+    text = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("datetime", "sold_at")}
+    return pairs.withColumns(text)
+
+
 _linked = _link()
 
 
@@ -96,6 +108,7 @@ _PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "profile_topic": lambda t: profiles.profile_topic(_device_days(t, require_config=True), t.topics),
     "profile_cohort": _cohort(),
     "profile_cohort_min2": _cohort(min_count=2),
+    "profile_cohort_split": _split_cohort,
     "covisited_monthly": _covisited("month"),
     "covisited_daily": _covisited("day"),
     "topic_versions": lambda t: profiles.topic_versions(t.topics),
@@ -103,6 +116,7 @@ _PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "link_sales_1m": _link(poslink.TOLERANCE),
     "link_sales_10m": _link(dt.timedelta(minutes=10)),
     "link_sales_30m": _linked,
+    "link_pairs_3m": _pairs,
     "linked_devices": lambda t: poslink.linked_devices(_linked(t)),
     "linked_visitors": lambda t: poslink.linked_visitors(_linked(t)),
     "linked_age_gender": lambda t: buyers.linked_age_gender(

@@ -25,6 +25,7 @@ ROWS = {
     "profile_topic": 360,
     "profile_cohort": 53,
     "profile_cohort_min2": 2323,
+    "profile_cohort_split": 2323,
     "covisited_monthly": 276,
     "covisited_daily": 8245,
     "topic_versions": 2,
@@ -32,6 +33,7 @@ ROWS = {
     "link_sales_1m": 80,
     "link_sales_10m": 873,
     "link_sales_30m": 2443,
+    "link_pairs_3m": 279,
     "linked_devices": 120,
     "linked_visitors": 539,
     "linked_age_gender": 142,

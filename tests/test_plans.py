@@ -197,8 +197,9 @@ def test_overlap_reads_the_visits_once(spark, conf, limit):
 def test_link_reads_each_input_once_in_the_competitor_report(spark, conf):
     conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
     text = plan(QUERIES["linked_overlap"](spark, SF))
-    # Visits, sales, contacts, and the shops under both the sales and the thresholds.
-    assert text.count("FileScan") == 5
+    # Visits, sales, contacts, the shops under both the sales and the thresholds, and the places of the
+    # thresholds once more: they limit the contacts that are read.
+    assert text.count("FileScan") == 6
 
 
 def test_partition_folders_are_pruned(spark, tmp_path, conf):

@@ -1,13 +1,12 @@
 """Rules that hold for every input, checked on the smallest scale factor."""
 
 import pytest
-from rows import device_days, linked, rows_of, sales, visit, visits
+from rows import linked, rows_of, sales, visit, visits
 
 from placelytics import fixtures, schemas
 from placelytics.fixtures import Tables
 from placelytics.operators import movement, overlap, poslink, profiles, repeat
 from placelytics.operators import visits as ops
-from placelytics.plans import jobs
 
 SF = "/root/testdata/sf0.001"
 
@@ -103,20 +102,6 @@ def test_unknown_grain_is_refused(spark):
         )
 
 
-def test_checkpoints_go_to_the_clusters_folder_or_else_under_the_output(spark, tmp_path, monkeypatch):
-    context = type(spark.sparkContext)
-    chosen = []
-    monkeypatch.setattr(context, "setCheckpointDir", lambda self, path: chosen.append(path))
-    days = device_days(spark, visit())
-    monkeypatch.setattr(type(days), "checkpoint", lambda self: self)
-    monkeypatch.setattr(context, "getCheckpointDir", lambda self: "/shared")
-    assert jobs._computed_once(days, str(tmp_path)) is days
-    assert chosen == []
-    monkeypatch.setattr(context, "getCheckpointDir", lambda self: None)
-    jobs._computed_once(days, str(tmp_path))
-    assert chosen == [f"{tmp_path}/_checkpoints"]
-
-
 def test_link_result_is_what_the_reports_take(spark):
     found = poslink.link_sales(visits(spark, visit()), sales(spark, {"datetime": "2024-01-10T12:00:00"}))
     assert rows_of(found, *schemas.LINKED.names) == rows_of(linked(spark, {}), *schemas.LINKED.names)
