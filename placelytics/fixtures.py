@@ -81,6 +81,12 @@ class Tables:
             F.col("ts").alias("datetime"),
         )
 
+    @cached_property
+    def device_numbers(self) -> DataFrame:
+        """The dictionary of devices; a test device is its own number."""
+        seen = self._raw("events").select("user_id").where(F.col("user_id").isNotNull()).distinct()
+        return seen.select(_text("user_id").alias("adid"), F.col("user_id").alias("number"))
+
     @cached_property
     def place_config(self) -> DataFrame:
         """At most 12 rows at any scale: four places, each under three competitor ids.

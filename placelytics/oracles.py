@@ -249,6 +249,8 @@ def oracle_sql() -> dict[str, str]:
     sql = {f"unique_devices_{name}": _unique(name) for name in _PERIOD}
     sql |= {f"overlap_{name}": _overlap(name) for name in _PERIOD}
     sql |= {
+        "unique_devices_weekly_halves": _unique("weekly"),
+        "overlap_monthly_halves": _overlap("monthly"),
         "device_days": _with(_OWN_DAYS) + "SELECT * FROM own_days",
         "device_days_all": _with(_ALL_DAYS) + "SELECT * FROM all_days",
         "profile_location": _location(2),

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placelytics.functions.time import PERIOD_COLUMNS, month_starts, on_days, report_day, week_label, whole_periods
-from placelytics.operators import buyers, movement, overlap, poslink, profiles, repeat, skew, visits
+from placelytics.operators import bitmaps, buyers, movement, overlap, poslink, profiles, repeat, skew, visits
+from placelytics.sources import arrivals
 from placelytics.sources.readers import PARTITIONS, read_linked
 from placelytics.sources.sinks import publish, with_partitions
 
@@ -70,33 +71,147 @@ def overlap_reports(
     *,
     start: str | None = None,
     end: str | None = None,
+    days: Iterable[str] | None = None,
     periods: Iterable[str] = tuple(PERIOD_FOLDERS),
     format: str = "parquet",
 ) -> list[str]:
     """Place overlap per day, week and month up to ``end``, by place and period.
 
     With ``start`` only the days, weeks and months that ``start`` to ``end`` touches are computed, each
-    of them whole; without it all since the places opened.
+    of them whole; with ``days`` only those that a listed day lies in; without either all since the places
+    opened.
     """
     end, periods = end or report_day(), list(periods)
-    spans = {p: whole_periods(p, start, end) if start else (None, end) for p in periods}
-    first = min(s for s, _ in spans.values()) if start else None
-    last = max(e for _, e in spans.values())
-    days = visits.monitored_days(visits_table, config, start=first, end=last)
+    if days is not None and start is not None:
+        raise ValueError("give start or days, not both")
+    if days is not None:
+        whole = {p: _whole_days(p, days, end) for p in periods}
+        spans = {p: (None, end, chosen) for p, chosen in whole.items()}
+        chosen_labels = {p: {_label(p, day) for day in chosen} for p, chosen in whole.items()}
+        read = {"end": end, "days": sorted(set().union(*whole.values()))}
+    else:
+        spans = {p: whole_periods(p, start, end) if start else (None, end) for p in periods}
+        first = min(s for s, _ in spans.values()) if start else None
+        read = {"start": first, "end": max(e for _, e in spans.values())}
+    monitored = visits.monitored_days(visits_table, config, **read)
     listed = _places(config)
     written = []
-    with _computed_once(days) as seen:
+    with _computed_once(monitored) as seen:
         for period, span in spans.items():
             pairs = overlap.overlap(visits.in_period(on_days(seen, *span), period), period)
             folder, key = f"{out}/duplication/{PERIOD_FOLDERS[period]}", PERIOD_COLUMNS[period]
             order = ["competitor_id", "duplication_place_id", "duplication_competitor_id"]
-            labels = _labels(seen.sparkSession, period, *span)
-            scope = {"place_id": listed, key: _within(*labels)}
+            if days is not None:
+                in_scope = chosen_labels[period].__contains__
+            else:
+                in_scope = _within(*_labels(seen.sparkSession, period, *span))
+            scope = {"place_id": listed, key: in_scope}
             publish(pairs, folder, ["place_id", key], sort_by=order, format=format, scope=scope)
             written.append(folder)
     return written
 
 
+def _whole_days(period: str, days: Iterable[str], end: str) -> list[str]:
+    """Every day up to ``end`` of the days, weeks or months that ``days`` lie in."""
+    every = set()
+    for first, last in {whole_periods(period, day, day) for day in days}:
+        day, last = dt.date.fromisoformat(first), min(last, end)
+        while day.isoformat() <= last:
+            every.add(day.isoformat())
+            day += dt.timedelta(days=1)
+    return sorted(every)
+
+
+def _label(period: str, day: str) -> str:
+    """Label of the period of a day: the day, the Monday in its Sunday week, or its month."""
+    if period == "week":
+        return (dt.date.fromisoformat(whole_periods("week", day, day)[0]) + dt.timedelta(days=1)).isoformat()
+    return day[:7] if period == "month" else day
+
+
+def refresh(visits_table: DataFrame, state: str, report: Callable[[list[str]], list[str]]) -> list[str]:
+    """Run ``report`` for the days that files touched which arrived since the last run; return what it wrote.
+
+    How far arrivals have been worked off is kept in ``state``, one file, and moves on only after
+    the report has been published: a run that fails is made up for by the next. The first run takes all
+    days. A file whose time of writing lies before that of the last run, such as one copied with its
+    old time, goes unnoticed. ``visits_table`` must be a scan of files.
+    """
+    spark, path = visits_table.sparkSession, f"{state}/arrivals"
+    until = arrivals.latest_arrival(visits_table)
+    after = spark.read.parquet(path).first()["until"] if _exists(spark, path) else None
+    if until is None or until == after:
+        return []
+    days = arrivals.touched_days(visits_table, after, until)
+    written = report(days) if days else []
+    spark.createDataFrame([(until,)], "until timestamp").coalesce(1).write.mode("overwrite").parquet(path)
+    return written
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def refresh_overlap_reports(
+    visits_table: DataFrame, config: DataFrame, out: str, state: str, *, end: str | None = None, **options
+) -> list[str]:
+    """:func:`overlap_reports` of the periods alone that newly arrived files touch."""
+    end = end or report_day()
+
+    def report(days: list[str]) -> list[str]:
+        due = [day for day in days if day <= end]
+        return overlap_reports(visits_table, config, out, end=end, days=due, **options) if due else []
+
+    return refresh(visits_table, state, report)
+
+
+def update_overlap_state(
+    visits_table: DataFrame,
+    config: DataFrame,
+    state: str,
+    *,
+    start: str | None = None,
+    end: str | None = None,
+    days: Iterable[str] | None = None,
+    periods: Iterable[str] = tuple(PERIOD_FOLDERS),
+) -> None:
+    """Add days to the bitmaps of devices by place and period under ``state``.
+
+    Only the added days are read of the visits, and only the periods they lie in are rewritten. Adding a
+    day again changes nothing, so a run that failed is simply repeated. Devices are never taken out: if rows
+    of a day were withdrawn, build its periods anew under another ``state``. One run at a time.
+    """
+    spark = visits_table.sparkSession
+    devices_path = f"{state}/devices"
+    with _computed_once(visits.monitored_days(visits_table, config, start=start, end=end, days=days)) as seen:
+        known = spark.read.schema(bitmaps.DEVICES).parquet(devices_path) if _exists(spark, devices_path) else None
+        last = known.agg(F.max("number").alias("last")).first()["last"] if known is not None else None
+        fresh = bitmaps.new_devices(seen, known, 0 if last is None else last + 1)
+        fresh.write.mode("append").parquet(devices_path)
+        devices = spark.read.schema(bitmaps.DEVICES).parquet(devices_path)
+        for period in periods:
+            key, folder = PERIOD_COLUMNS[period], f"{state}/{PERIOD_FOLDERS[period]}"
+            new = bitmaps.device_bitmaps(seen, devices, period)
+            if _exists(spark, folder):
+                old = _state(spark, folder, key, new)
+                new = bitmaps.merged(new, old.join(new.select(key).distinct(), key, "left_semi"))
+            with _computed_once(new) as complete:
+                publish(complete, folder, [key])
+
+
+def _state(spark: SparkSession, folder: str, key: str, like: DataFrame) -> DataFrame:
+    """Stored bitmaps with their period as text."""
+    return spark.read.schema(like.schema).parquet(folder).select(*like.columns)
+
+
+def overlap_state(spark: SparkSession, state: str, period: str) -> DataFrame:
+    """The stored bitmaps of a period, for :mod:`operators.bitmaps` to count."""
+    key = PERIOD_COLUMNS[period]
+    columns = f"place_id string, competitor_id int, bucket long, bitmap binary, {key} string"
+    return spark.read.schema(columns).parquet(f"{state}/{PERIOD_FOLDERS[period]}")
+
+
 def _labels(spark: SparkSession, period: str, first: str | None, last: str) -> tuple[str | None, str]:
     """Labels of the first and last period of a span."""
     if period == "day":

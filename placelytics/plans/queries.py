@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from placelytics import fixtures
 from placelytics.fixtures import Tables
-from placelytics.operators import buyers, movement, overlap, poslink, profiles, repeat, skew, visits
+from placelytics.operators import bitmaps, buyers, movement, overlap, poslink, profiles, repeat, skew, visits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,13 @@ def _overlap(period: str, **span) -> Callable[[Tables], DataFrame]:
     )
 
 
+def _bitmaps_of_halves(t: Tables, period: str) -> DataFrame:
+    """State of the first days and of the others, each built on its own, and merged."""
+    halves = [{"end": "2024-01-14"}, {"start": "2024-01-15"}]
+    days = [visits.monitored_days(t.visits, t.place_config, **half) for half in halves]
+    return bitmaps.merged(*[bitmaps.device_bitmaps(seen, t.device_numbers, period) for seen in days])
+
+
 def _device_days(t: Tables, **options) -> DataFrame:
     return visits.device_days(t.visits, t.place_config, **options)
 
@@ -101,6 +108,8 @@ _PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "overlap_weekly": _overlap("week"),
     "overlap_monthly": _overlap("month"),
     "overlap_weekly_range": _overlap("week", start="2024-01-07", end="2024-01-20"),
+    "unique_devices_weekly_halves": lambda t: bitmaps.unique_devices(_bitmaps_of_halves(t, "week"), "week"),
+    "overlap_monthly_halves": lambda t: bitmaps.overlap(_bitmaps_of_halves(t, "month"), "month"),
     "device_days": _device_days,
     "device_days_all": _all_days,
     "profile_location": _location(),

@@ -18,6 +18,8 @@ ROWS = {
     "overlap_weekly": 450,
     "overlap_monthly": 90,
     "overlap_weekly_range": 180,
+    "unique_devices_weekly_halves": 50,
+    "overlap_monthly_halves": 90,
     "device_days": 3543,
     "device_days_all": 7350,
     "profile_location": 306,
