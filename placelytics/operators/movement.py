@@ -51,14 +51,16 @@ def covisited_spots(
     device_spots = valid_between(device_spots, first, last)
     if grain == "day" and first is not None and last is not None:
         device_spots = device_spots.where(F.col("start_date").isin(month_starts(first, last)))
+    # A spot's captions travel with it from here on, so the catalogue is joined once.
     allowed = (
         catalog.where(areas)
         .join(categories, "cohort_caption", "left_semi")
-        .select(*SPOT, "cohort_caption")
+        .groupBy(*SPOT)
+        .agg(F.sort_array(F.collect_list("cohort_caption")).alias("captions"))
     )
     spots = collapse(
-        device_spots.where(areas).join(allowed, SPOT, "left_semi"),
-        *["adid", *SPOT, "start_date", "end_date"],
+        device_spots.where(areas).join(allowed, SPOT),
+        *["adid", *SPOT, "start_date", "end_date", "captions"],
     )
     if grain == "month":
         period = "start_date"
@@ -73,5 +75,7 @@ def covisited_spots(
         )
     else:
         raise ValueError(f"grain must be 'month' or 'day', not {grain!r}")
-    counts = together.groupBy(*PLACE, *SPOT, period).agg(counted())
-    return suppress(counts, min_count).join(allowed, SPOT)
+    counts = together.groupBy(*PLACE, *SPOT, period).agg(counted(), F.first("captions").alias("captions"))
+    return suppress(counts, min_count).select(
+        *SPOT, *PLACE, period, "count", F.explode("captions").alias("cohort_caption")
+    )

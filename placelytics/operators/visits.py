@@ -28,21 +28,30 @@ _PARTITION_COPY = {"user_id": "usr", "place_id": "place"}
 
 def small_list(keys: DataFrame) -> DataFrame:
     """``keys``, distinct rows of a place list, to be broadcast if there are few enough of them."""
-    return F.broadcast(keys) if keys.limit(LISTED_KEYS + 1).count() <= LISTED_KEYS else keys
+    return F.broadcast(keys) if _few(keys) else keys
 
 
-def listed(visits: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+def _few(keys: DataFrame) -> bool:
+    return keys.limit(LISTED_KEYS + 1).count() <= LISTED_KEYS
+
+
+def listed(visits: DataFrame, keys: DataFrame, column: str, few: bool | None = None) -> DataFrame:
     """Visits whose ``column`` occurs in ``keys``, matched on its partition copy if there is one.
 
+    ``few`` says whether the distinct keys are known to be few enough for a broadcast; without it they
+    are counted.
+
     A copy of another type than the key, such as a folder name read as a number, is not used.
     Spark prunes partitions through a join only when the small side carries a filter. That is
     what the test for blank ids is for; a partition cannot have a blank name anyway.
     """
     copy = _PARTITION_COPY.get(column)
     if copy not in visits.columns or visits.schema[copy].dataType != keys.schema[column].dataType:
-        return visits.join(small_list(keys.select(column).distinct()), column, "left_semi")
-    names = keys.select(F.col(column).alias(copy)).where(F.length(copy) > 0)
-    return visits.join(small_list(names.distinct()), copy, "left_semi")
+        names, copy = keys.select(column).distinct(), column
+    else:
+        names = keys.select(F.col(column).alias(copy)).where(F.length(copy) > 0).distinct()
+    few = _few(names) if few is None else few
+    return visits.join(F.broadcast(names) if few else names, copy, "left_semi")
 
 
 def device_days(
@@ -87,8 +96,10 @@ def tenant_device_days(
     schemas.check(visits, schemas.VISITS, "visits", ["user_id", "adid", "date", *PLACE])
     schemas.check(config, schemas.PLACE_CONFIG, "place_config")
     found = on_days(visits, start, end, days)
+    # A configuration of few distinct rows has few distinct keys of each kind: one count for all lists.
+    few = _few(config.select("user_id", *PLACE).distinct()) or None
     for column in ("user_id", "place_id", "competitor_id"):
-        found = listed(found, config, column)
+        found = listed(found, config, column, few)
     return found.select("user_id", *PLACE, "adid", "date").dropDuplicates()
 
 

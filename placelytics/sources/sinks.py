@@ -59,6 +59,19 @@ def publish(
         _withdraw(df.sparkSession, path, partition_by, scope, kept)
 
 
+def publish_device_table(df: DataFrame, table: str, buckets: int, *, path: str | None = None) -> None:
+    """A device-level table, bucketed and sorted by device, as a catalog table that it replaces.
+
+    Rows of a device lie in one bucket, so collapsing the table and joining it with visits moves only the
+    visits. ``buckets`` should be the number of shuffle partitions of the reports or a multiple of it.
+    A device with very many rows makes its bucket large. With ``path`` the files lie there.
+    """
+    if "adid" not in df.columns:
+        raise ValueError("a device table needs the column adid")
+    writer = df.repartition(buckets, "adid").write.mode("overwrite").bucketBy(buckets, "adid").sortBy("adid")
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
+
+
 def _withdraw(
     spark: SparkSession,
     path: str,
