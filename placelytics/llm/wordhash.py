@@ -14,7 +14,6 @@ import pyarrow as pa
 
 BLOCK = 1 << 18
 _M = (1 << 64) - 1
-_P = 0x9E3779B97F4A7C15 | 1
 _Q = 0xD1342543DE82EF95
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -53,7 +52,7 @@ class _Powers:
         return self.up, self.down
 
 
-_BYTES, _WORDS, _WORDS2 = _Powers(_P), _Powers(_Q), _Powers(0xDA942042E4DD58B5)
+_WORDS, _WORDS2 = _Powers(_Q), _Powers(0xDA942042E4DD58B5)
 
 
 def blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -88,12 +87,15 @@ def words(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray = NOT_BL
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, *, lower: bool = False) -> np.ndarray:
     """A hash of each word's bytes; ``lower`` takes A-Z as a-z."""
-    up, down = _BYTES.upto(len(data) + 1)
-    values = (_BYTE[_LOWER] if lower else _BYTE)[data]
-    values *= up[: len(data)]
-    total = np.zeros(len(data) + 1, np.uint64)
+    sizes = ends - starts
+    firsts = np.concatenate([[0], np.cumsum(sizes)])
+    place = np.arange(firsts[-1]) - np.repeat(firsts[:-1], sizes)
+    values = (_BYTE[_LOWER] if lower else _BYTE)[data[place + np.repeat(starts, sizes)]]
+    # A factor of its own for each place in a word: powers of one number would let regular words collide.
+    values *= (mixed(np.arange(int(sizes.max(initial=0)), dtype=np.uint64)) | np.uint64(1))[place]
+    total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values, out=total[1:])
-    return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return mixed(total[firsts[1:]] - total[firsts[:-1]] + sizes.astype(np.uint64))
 
 
 def gram_hashes(word_hashes: np.ndarray, size: int, *, second: bool = False) -> np.ndarray:

@@ -92,3 +92,10 @@ def test_dropping_keeps_one_row_of_each_component(spark):
 def test_empty_table(spark):
     assert ngram_join.classes(edge.empty(spark)).collect() == []
     assert ngram_join.drop_near_duplicates(edge.empty(spark)).collect() == []
+
+
+def test_regular_words_do_not_collide(spark):
+    """The sequence of parities of the numbers of ones, and its complement: powers modulo 2**64 agree on them."""
+    one = "".join("ab"[i.bit_count() % 2] for i in range(2048))
+    rows = [(1, one, *[None] * 4), (2, one.translate(str.maketrans("ab", "ba")), *[None] * 4), (3, one, *[None] * 4)]
+    assert found(spark, rows, 3, 90) == brute(rows, 3, 90)
