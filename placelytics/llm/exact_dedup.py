@@ -13,10 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placelytics.llm.shared import ascii_lower, require, stored
+from placelytics.llm.shared import ascii_lower, require, stored, temporary
 
 #: Runs that meet in one merge.
 FAN_IN = 4
+#: Recurring texts that are broadcast, by digest: about 100 MB. Beyond, the rows are shuffled.
+BROADCAST_TEXTS = 1_000_000
 _ENTRY = ["digest", "check", "bytes"]
 
 
@@ -92,21 +94,19 @@ def drop_exact_duplicates(
     """The rows of ``docs`` that :func:`exact_duplicates` keeps, with all their columns.
 
     Rows that repeat both id and text are one group's rows, so one of them stays, whatever their
-    other columns hold.
+    other columns hold. Rows of a text that no other row has, most of a corpus, are not shuffled as long
+    as the texts that recur, by digest, are few enough to be broadcast.
     """
-    rows = stored(digests(docs, id, text), "digests")
-    best = merged_runs(rows, keep).select(*(F.col(c).alias(f"__{c}") for c in _ENTRY), F.col("best.id").alias("__id"))
+    with temporary(docs.sparkSession):
+        rows = stored(digests(docs, id, text), "digests")
+        best = merged_runs(rows, keep).where("size > 1")
+        again = stored(best.select(*(F.col(c).alias(f"__{c}") for c in _ENTRY), F.col("best.id").alias("__id")), "again", keep=True)
+    few = again.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS
     plain = ascii_lower(F.coalesce(F.col(text), F.lit("")))
-    return (
-        docs.withColumn("__plain", plain)
-        .withColumn("__sha", F.unhex(F.sha2("__plain", 256)))
-        .join(
-            best,
-            (F.col("__sha") == F.col("__digest"))
-            & (F.xxhash64("__plain") == F.col("__check"))
-            & (F.octet_length("__plain") == F.col("__bytes"))
-            & F.col(id).eqNullSafe(F.col("__id")),
-        )
-        .dropDuplicates(["__sha", "__check", "__bytes"])
-        .select(*(docs[c] for c in docs.columns))
-    )
+    named = docs.withColumns({"__sha": F.unhex(F.sha2(plain, 256)), "__hash": F.xxhash64(plain), "__size": F.octet_length(plain)})
+    same = (F.col("__sha") == F.col("__digest")) & (F.col("__hash") == F.col("__check")) & (F.col("__size") == F.col("__bytes"))
+    found = named.join(F.broadcast(again) if few else again, same, "left")
+    columns = [F.col(c) for c in docs.columns]
+    alone = found.where("__digest IS NULL").select(*columns)
+    stays = found.where(F.col("__digest").isNotNull() & F.col(id).eqNullSafe(F.col("__id")))
+    return alone.unionByName(stays.dropDuplicates(["__sha", "__hash", "__size"]).select(*columns))
