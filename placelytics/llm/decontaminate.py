@@ -15,6 +15,8 @@ from placelytics.llm.shared import ascii_lower, require, stored
 SIZE = 10
 #: The set of n-grams is broadcast up to this many; beyond it the probe is a shuffled join.
 BROADCAST_NGRAMS = 500_000
+#: Names of contaminated documents that are broadcast, 16 bytes and an id each; beyond, documents are shuffled.
+BROADCAST_ROWS = 1_000_000
 
 #: Words are runs of letters, digits and all non-ASCII characters.
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -127,11 +129,16 @@ def decontaminate(
     behind it, out of the text and keeps the row. Clean rows stay as they are.
     """
     require(docs, id, text)
+    if remove not in ("documents", "spans"):
+        raise ValueError(f"remove must be 'documents' or 'spans', not {remove!r}")
     found = hits(docs, stored(benchmark_ngrams(benchmark, item_id, item_text, size), "ngrams"), id, text).select(
         F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("spans").alias("__spans")
     )
     same = F.col(id).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__h"))
     if remove == "documents":
+        found = stored(found.select("__id", "__h"), "contaminated")
+        if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+            found = F.broadcast(found)
         return docs.join(found, same, "left_anti")
     kept = F.concat(
         F.element_at("__gaps", 1),
