@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placelytics.llm.shared import components, cut, require, rows_marked, stored
+from placelytics.llm.shared import components, cut, require, rows_marked, stored, temporary
 from placelytics.llm.wordhash import blocks, gram_hashes, hashes, run_hashes, words
 
 WORDS, PERCENT = 5, 80
@@ -266,6 +266,11 @@ def classes(
     has a null id. ``h`` hashes the text. An empty table gives an empty result.
     """
     require(docs, id, text)
+    with temporary(docs.sparkSession):
+        return stored(_classes(docs, id, text, size, percent), "classes", keep=True)
+
+
+def _classes(docs: DataFrame, id: str, text: str, size: int, percent: int) -> DataFrame:
     rows = stored(signatures(docs, size, percent, id, text), "signatures")
     edges = links(docs, rows, size, percent, text)
     roots = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))

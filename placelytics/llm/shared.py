@@ -6,6 +6,8 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +32,31 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_OWNER: ContextVar[str | None] = ContextVar("owner", default=None)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What is stored or cut within is removed at the end, but for what is stored with ``keep``."""
+    path = f"{shared_folder(spark)}/temporary-{uuid.uuid4().hex}"
+    before = _OWNER.set(path)
+    try:
+        yield
+    finally:
+        _OWNER.reset(before)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared folder, with its lineage cut."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    return stored(df, "cut")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, *, keep: bool = False) -> DataFrame:
     """``df`` written once as a compressed table into the shared folder and read back."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    owner = None if keep else _OWNER.get()
+    path = f"{owner or shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
