@@ -12,14 +12,15 @@ of near copies in one step each. Then, and only where one list still spans sever
 across components are verified, all of them. No link between components can be missed, and no
 list is ever expanded into all pairs of one family.
 
-The order puts n-grams that very many documents share last, so that common passages do not fill the
-prefixes. Which n-grams those are only changes the cost, never the result. A number of 63 bits, the
-hash of the n-gram below a bit that says whether it is common, stands for an n-gram and its place in
-the order.
+The order goes by how many documents hold an n-gram, in four classes, so that common passages do not
+fill the prefixes and lists stay short however large the table. The classes are three bitmaps of fixed
+size made from counts over all documents; they only change the cost, never the result. A number of 63
+bits, the hash of the n-gram below its class, stands for an n-gram and its place in the order.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -28,14 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placelytics.llm.shared import components, cut, require, rows_marked, stored, temporary
+from placelytics.llm.shared import bitmap, components, cut, marked, require, rows_marked, stored, temporary
 from placelytics.llm.wordhash import blocks, gram_hashes, hashes, run_hashes, words
 
 WORDS, PERCENT = 5, 80
-#: An n-gram of at least this share of the documents goes last in the order; at most so many do.
-COMMON_SHARE, COMMON_MOST = 1 / 2000, 200_000
-#: Share of the space of hashes in which common n-grams are looked for: prefixes are the least hashes.
-_LOOKED_AT = np.uint64((1 << 64) // 10 * 4)
+#: Least number of documents, as a power of two, of each class of common n-grams above the one before.
+COMMON_FROM, CLASS_STEP, CLASSES = 3, 3, 3
+#: The least class starts higher where it would hold more n-grams than this, an eighth of a bitmap's bits.
+COMMON_MOST = 1 << 23
 #: Columns of a set's sketch, 64 bits each.
 _SKETCH = ("sketch0", "sketch1", "sketch2", "sketch3")
 
@@ -62,34 +63,37 @@ def _prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def common_ngrams(docs: DataFrame, size: int, text: str = "text") -> np.ndarray:
-    """N-grams that occur in many documents, by counts over all of them.
+def common_ngrams(docs: DataFrame, size: int, percent: int, text: str = "text") -> list[np.ndarray]:
+    """Bitmaps of the n-grams that occur in many, in very many, and in yet more documents.
 
-    An n-gram of a share of the documents has at least that share in some batch, so batches only
-    report what repeats often enough within them; the counts of that are added up.
+    Prefixes are the least hashes, so n-grams are counted over all documents, but only those in twice the
+    share of the space of hashes that prefixes take. The driver holds the bitmaps alone.
     """
+    below = np.uint64(min((1 << 64) - 1, (1 << 64) * 2 * (100 - percent) // 100))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seen = [s[: np.searchsorted(s, _LOOKED_AT)] for s in shingle_sets(b.column(0), size)]
+            seen = [s[: np.searchsorted(s, below)] for s in shingle_sets(b.column(0), size)]
             grams, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *seen]), return_counts=True)
-            many = counts >= max(2, COMMON_SHARE * len(seen))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[many].view(np.int64)), pa.array(counts[many])], names=["gram", "n"]
+                [pa.array(grams.view(np.int64)), pa.array(counts)], names=["gram", "n"]
             )
 
-    rows = docs.count()
-    many = (
+    counted = (
         docs.select(docs[text])
         .mapInArrow(local, "gram long, n long")
         .groupBy("gram")
         .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= max(8, COMMON_SHARE * rows))
-        .orderBy(F.desc("n"), "gram")
-        .limit(COMMON_MOST)
-        .toArrow()
+        .where(F.col("n") >= 1 << COMMON_FROM)
     )
-    return np.sort(many["gram"].to_numpy().view(np.uint64))
+    common = stored(counted.select("gram", F.floor(F.log2("n")).cast("int").alias("power")), "common")
+    above, start = 0, COMMON_FROM
+    for power, n in sorted(((r["power"], r["n"]) for r in common.groupBy("power").agg(F.count("*").alias("n")).collect()), reverse=True):
+        above += n
+        if above > COMMON_MOST:
+            start = power + 1
+            break
+    return [bitmap(common.where(F.col("power") >= start + CLASS_STEP * i).select("gram")) for i in range(CLASSES)] if above else []
 
 
 def signatures(docs: DataFrame, size: int, percent: int, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -98,18 +102,19 @@ def signatures(docs: DataFrame, size: int, percent: int, id: str = "doc_id", tex
     ``n`` is the size of its set, ``node`` a 128-bit name of the set, ``grp`` one of size and prefix and
     ``h`` a hash of the text by which the text is found again. Rows without words have a null node.
     """
-    common = common_ngrams(docs, size, text)
+    common = docs.sparkSession.sparkContext.broadcast(common_ngrams(docs, size, percent, text))
 
     def batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = common.value
         for b in batches:
             sizes, nodes, groups, prefixes, sketches = [], [], [], [], []
             for s in shingle_sets(b.column(2), size):
                 n = len(s)
                 keep = min(n, _prefix_length(n, percent))
-                order = (s >> np.uint64(2)).view(np.int64)
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, s), len(common) - 1)
-                    order = np.sort(np.where(common[at] == s, order + (1 << 62), order))
+                order = (s >> np.uint64(3)).view(np.int64)
+                if held:
+                    places = sum(marked(bits, s.view(np.int64)).astype(np.int64) for bits in held)
+                    order = np.sort(order + (places << 61))
                 prefix = order[:keep]
                 sizes.append(n)
                 nodes.append(blake2b(s.tobytes(), digest_size=16).digest() if n else None)
@@ -135,18 +140,22 @@ def signatures(docs: DataFrame, size: int, percent: int, id: str = "doc_id", tex
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of sets that are similar enough; ``texts(node, text)`` holds them all."""
+    """The pairs ``(a, b)`` of sets that are similar enough; ``texts(node, text)`` holds them all, deflated."""
+
+    def opened(column: pa.Array) -> pa.Array:
+        return pa.array([zlib.decompress(t) for t in column.to_pylist()], pa.binary())
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own = None, None
         for b in batches:
             linked = np.zeros(len(b), bool)
             names = b.column(0).to_pylist()
-            for i, other in enumerate(shingle_sets(b.column(3), size)):
-                if names[i] != last:
-                    last, own = names[i], next(shingle_sets(b.column(2).slice(i, 1), size))
-                both = len(np.intersect1d(own, other, assume_unique=True))
-                linked[i] = 100 * both >= percent * (len(own) + len(other) - both)
+            for start in range(0, len(b), 64):
+                for i, other in enumerate(shingle_sets(opened(b.column(3).slice(start, 64)), size), start):
+                    if names[i] != last:
+                        last, own = names[i], next(shingle_sets(opened(b.column(2).slice(i, 1)), size))
+                    both = len(np.intersect1d(own, other, assume_unique=True))
+                    linked[i] = 100 * both >= percent * (len(own) + len(other) - both)
             yield b.filter(pa.array(linked)).select(["a", "b"])
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -161,14 +170,14 @@ def _fits(a: str, b: str, percent: int):
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * most >= percent * (na + nb))
 
 
-def _sketches_fit(percent: int):
-    """Filter of two sets ``a`` and ``b`` on their sketches.
+def _sketches_fit(percent: int, a: str = "a", b: str = "b"):
+    """Filter of two sets on their sketches.
 
     A bit of a sketch is the parity of the n-grams that fall on it, so sketches differ in at most as many
     bits as the sets differ in n-grams; and similar sets may only differ in so many.
     """
-    apart = sum((F.bit_count(F.col(f"a{s}").bitwiseXOR(F.col(f"b{s}"))) for s in _SKETCH), F.lit(0))
-    return (100 + percent) * apart <= (100 - percent) * (F.col("an") + F.col("bn"))
+    apart = sum((F.bit_count(F.col(f"{a}{s}").bitwiseXOR(F.col(f"{b}{s}"))) for s in _SKETCH), F.lit(0))
+    return (100 + percent) * apart <= (100 - percent) * (F.col(f"{a}n") + F.col(f"{b}n"))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -178,16 +187,11 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def links(docs: DataFrame, rows: DataFrame, size: int, percent: int, text: str = "text") -> DataFrame:
     """Verified links ``(a, b)`` between sets, enough of them to connect every component."""
     full = rows.where("n > 0")
-    groups = full.groupBy("grp", "n").agg(F.first("prefix").alias("prefix"), F.count("*").alias("copies"))
-    listed = groups.select("grp", F.explode("prefix").alias("gram"))
-    shared = listed.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1")
-    # Only what is shared gets its size and position.
-    lists = stored(
-        listed.join(shared, "gram")
-        .join(groups, "grp")
-        .select("gram", "k", "grp", "n", (F.array_position("prefix", F.col("gram")) - 1).alias("pos"), "copies"),
-        "lists",
-    )
+    prefixes = (F.first("prefix").alias("prefix"), F.count("*").alias("copies"))
+    groups = stored(full.groupBy("grp", "n").agg(*prefixes), "groups")
+    listed = groups.select("grp", "n", "copies", F.posexplode("prefix").alias("pos", "gram"))
+    shared = stored(listed.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1"), "shared")
+    lists = stored(rows_marked(listed, "gram", shared.select("gram")).join(shared, "gram"), "lists")
     own = [F.first(c).alias(c) for c in ("n", *_SKETCH)]
     nodes = stored(full.groupBy("node").agg(F.min("grp").alias("grp"), F.min("h").alias("h"), *own), "nodes")
     heads = nodes.groupBy("grp").agg(F.min("node").alias("head"), F.max("node").alias("tail"))
@@ -198,61 +202,84 @@ def links(docs: DataFrame, rows: DataFrame, size: int, percent: int, text: str =
     leaders = ranked.groupBy("gram", "level").agg(F.max(F.struct("copies", "grp", "n", "pos")).alias("l"))
     stars = (
         ranked.join(leaders, ["gram", "level"])
-        .select(F.col("l.grp").alias("agrp"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lpos"), F.col("grp").alias("bgrp"), F.col("n").alias("mn"), F.col("pos").alias("mpos"))
-        .where((F.col("agrp") != F.col("bgrp")) & _fits("l", "m", percent))
-        .select("agrp", "bgrp")
+        .select(F.col("l.grp").alias("agrp"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lpos"), F.col("grp").alias("mgrp"), F.col("n").alias("mn"), F.col("pos").alias("mpos"))
+        .where((F.col("agrp") != F.col("mgrp")) & _fits("l", "m", percent))
+        .select("agrp", "mgrp")
         .distinct()
     )
     a = _side(nodes, "a").join(heads.select(F.col("head").alias("a"), (F.col("head") != F.col("tail")).alias("several")), "a")
-    stars = stars.join(a.drop("several"), "agrp").join(_side(nodes, "b"), "bgrp")
-    within = a.where("several").drop("several").join(_side(nodes, "b"), F.col("agrp") == F.col("bgrp"))
-    first = cut(_ordered(stars.unionByName(within).where(_sketches_fit(percent)).select("a", "b")))
+    stars = stars.join(a.drop("several"), "agrp").join(
+        _side(nodes, "b"), (F.col("mgrp") == F.col("bgrp")) & _sketches_fit(percent)
+    )
+    within = a.where("several").join(_side(nodes, "b"), (F.col("agrp") == F.col("bgrp")) & _sketches_fit(percent))
+    first = cut(_ordered(stars.select("a", "b").unionByName(within.select("a", "b"))))
     found = cut(_verified(first, _texts(docs, nodes, first, text), size, percent))
 
     roots = components(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    placed = cut(
-        nodes.join(roots, "node", "left").select("node", "grp", F.coalesce("root", "node").alias("root"))
-    )
     # A component is named by 64 bits here.
-    name = F.xxhash64("root")
-    several = (F.count("*") > 1).alias("several")
-    ranges = cut(placed.groupBy("grp").agg(F.min(name).alias("low"), F.max(name).alias("high"), several))
+    name = F.xxhash64(F.coalesce("root", "node")).alias("root")
+    placed = cut(nodes.join(roots, "node", "left").select("node", "grp", "n", *_SKETCH, name))
+    ranges = cut(
+        placed.groupBy("grp").agg(
+            F.min("root").alias("low"), F.max("root").alias("high"), (F.count("*") > 1).alias("several"),
+            *(F.first(c).alias(c) for c in _SKETCH),
+        )
+    )
     ranged = lists.join(ranges, "grp")
     # A list of two groups of one set each is done: its one pair has been verified.
-    spans = [F.min("low").alias("l"), F.max("high").alias("h"), F.max("several").alias("several"), F.max("k").alias("k")]
-    mixed = ranged.groupBy("gram").agg(*spans).where("l <> h AND (k > 2 OR several)").select("gram")
+    spans = [F.min("low").alias("l"), F.max("high").alias("h"), F.max("several").alias("any_several"), F.max("k").alias("most")]
+    mixed = ranged.groupBy("gram").agg(*spans).where("l <> h AND (most > 2 OR any_several)").select("gram")
     open_ = stored(ranged.join(mixed, "gram"), "open")
-    a, b = (open_.select("gram", *(F.col(c).alias(f"{x}{c}") for c in ("grp", "n", "pos", "low", "high"))) for x in "ab")
+    a, b = (
+        open_.select("gram", *(F.col(c).alias(f"{x}{c}") for c in ("grp", "n", "pos", "low", "high", "several", *_SKETCH)))
+        for x in "ab"
+    )
     across = (F.col("alow") != F.col("blow")) | (F.col("alow") != F.col("ahigh")) | (F.col("blow") != F.col("bhigh"))
+    # The sketch of a group of one set is that of the set.
+    close = F.col("aseveral") | F.col("bseveral") | _sketches_fit(percent)
     pairs = (
-        a.join(b, (a["gram"] == b["gram"]) & (F.col("agrp") < F.col("bgrp")) & across & _fits("a", "b", percent))
-        .select("agrp", "bgrp")
+        a.join(b, (a["gram"] == b["gram"]) & (F.col("agrp") < F.col("bgrp")) & across & _fits("a", "b", percent) & close)
+        .select(F.col("agrp").alias("xgrp"), *(F.col(f"b{c}").alias(f"y{c}") for c in ("grp", "n", "low", "high", "several", *_SKETCH)))
         .distinct()
     )
-    sides = [_side(nodes, x).join(placed.select(F.col("node").alias(x), F.col("root").alias(f"{x}root")), x) for x in "ab"]
-    same = ranges.where("low <> high").select(F.col("grp").alias("agrp"), F.col("grp").alias("bgrp"))
-    expanded = pairs.unionByName(same).join(sides[0], "agrp").join(sides[1], "bgrp")
-    second = _ordered(expanded.where((F.col("aroot") != F.col("broot")) & _sketches_fit(percent)).select("a", "b")).join(
-        first, ["a", "b"], "left_anti"
+    sides = {x: _side(placed, x, "root") for x in "ab"}
+    unlike = (F.col("aroot") != F.col("broot")) & _sketches_fit(percent)
+    whole = ((F.col("ylow") != F.col("yhigh")) | (F.col("aroot") != F.col("ylow"))) & (
+        F.col("yseveral") | _sketches_fit(percent, "a", "y")
     )
+    expanded = (
+        pairs.join(sides["a"], (F.col("xgrp") == F.col("agrp")) & whole)
+        .select("a", "an", "aroot", *(f"a{c}" for c in _SKETCH), "ygrp")
+        .join(sides["b"], (F.col("ygrp") == F.col("bgrp")) & unlike)
+    )
+    # In a group of several components one set of each pair lies outside the group's largest.
+    parts = placed.join(ranges.where("low <> high").select("grp"), "grp").groupBy("grp", "root").agg(F.count("*").alias("n"))
+    largest = parts.groupBy(F.col("grp").alias("lgrp")).agg(F.max(F.struct("n", "root")).alias("largest"))
+    outside = sides["a"].join(largest, (F.col("agrp") == F.col("lgrp")) & (F.col("aroot") != F.col("largest.root")))
+    inside = outside.join(sides["b"], (F.col("agrp") == F.col("bgrp")) & unlike)
+    second = _ordered(expanded.select("a", "b").unionByName(inside.select("a", "b"))).join(first, ["a", "b"], "left_anti")
     second = cut(second)
     return found.unionByName(cut(_verified(second, _texts(docs, nodes, second, text), size, percent)))
 
 
-def _side(nodes: DataFrame, x: str) -> DataFrame:
+def _side(nodes: DataFrame, x: str, *more: str) -> DataFrame:
     """The sets as members ``x`` of groups ``xgrp``, with size and sketch."""
-    return nodes.select(F.col("node").alias(x), *(F.col(c).alias(f"{x}{c}") for c in ("grp", "n", *_SKETCH)))
+    return nodes.select(F.col("node").alias(x), *(F.col(c).alias(f"{x}{c}") for c in ("grp", "n", *_SKETCH, *more)))
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, text: str) -> DataFrame:
-    """``(node, text)`` of the sets in ``pairs``; other texts are not shuffled."""
+    """``(node, text)`` of the sets in ``pairs``, deflated; other texts are not shuffled."""
     named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = stored(nodes.join(named, "node").select("node", "h"), "wanted")
     every = docs.select(F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-    return stored(
-        rows_marked(every, "h", wanted.select("h")).join(wanted, "h").groupBy("node").agg(F.first("text").alias("text")),
-        "texts",
-    )
+
+    def deflate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = pa.array([zlib.compress(t, 1) for t in b.column(1).cast(pa.binary()).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), texts], names=["h", "text"])
+
+    held = rows_marked(every, "h", wanted.select("h")).where("text IS NOT NULL").mapInArrow(deflate, "h long, text binary")
+    return stored(held.join(wanted, "h").groupBy("node").agg(F.first("text").alias("text")), "texts")
 
 
 def classes(

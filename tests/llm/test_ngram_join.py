@@ -75,8 +75,11 @@ def test_families_equal_brute_force(spark, seed, size, percent):
 
 def test_order_of_ngrams_never_changes_the_result(spark, monkeypatch):
     rows = families(4)
-    monkeypatch.setattr(ngram_join, "COMMON_SHARE", 2.0)
-    assert found(spark, rows, 3, 80) == brute(rows, 3, 80)
+    expected = brute(rows, 3, 80)
+    for least, most in [(1, 1 << 23), (2, 40), (60, 1 << 23)]:
+        monkeypatch.setattr(ngram_join, "COMMON_FROM", least)
+        monkeypatch.setattr(ngram_join, "COMMON_MOST", most)
+        assert found(spark, rows, 3, 80) == expected
 
 
 def test_dropping_keeps_one_row_of_each_component(spark):
@@ -99,3 +102,14 @@ def test_regular_words_do_not_collide(spark):
     one = "".join("ab"[i.bit_count() % 2] for i in range(2048))
     rows = [(1, one, *[None] * 4), (2, one.translate(str.maketrans("ab", "ba")), *[None] * 4), (3, one, *[None] * 4)]
     assert found(spark, rows, 3, 90) == brute(rows, 3, 90)
+
+
+def test_groups_of_several_components_equal_brute_force(spark):
+    """Edits of long texts behind one prefix: groups of many sets, some of them too far apart to link."""
+    rng, rows = random.Random(9), []
+    for _ in range(3):
+        base = edge.prose(120, rng)
+        for far in (1, 1, 2, 4, 6, 9, 12):
+            for _ in range(6):
+                rows.append((len(rows), edge.edited(base, [rng.randrange(120) for _ in range(far)], rng), *[None] * 4))
+    assert found(spark, rows, 3, 90) == brute(rows, 3, 90)
