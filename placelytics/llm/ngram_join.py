@@ -78,6 +78,7 @@ def common_ngrams(docs: DataFrame, size: int, percent: int, text: str = "text")
             yield pa.RecordBatch.from_arrays(
                 [pa.array(grams.view(np.int64)), pa.array(counts)], names=["gram", "n"]
             )
+            pa.default_memory_pool().release_unused()
 
     counted = (
         docs.select(docs[text])
@@ -133,6 +134,7 @@ def signatures(docs: DataFrame, size: int, percent: int, id: str = "doc_id", tex
                 ],
                 names=["id", "h", "n", "node", "grp", "prefix", *_SKETCH],
             )
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id).cast("long").alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
     longs = "".join(f", {c} long" for c in _SKETCH)
@@ -157,6 +159,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
                     both = len(np.intersect1d(own, other, assume_unique=True))
                     linked[i] = 100 * both >= percent * (len(own) + len(other) - both)
             yield b.filter(pa.array(linked)).select(["a", "b"])
+            pa.default_memory_pool().release_unused()
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
@@ -271,15 +274,19 @@ def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, text: str) -> Da
     """``(node, text)`` of the sets in ``pairs``, deflated; other texts are not shuffled."""
     named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = stored(nodes.join(named, "node").select("node", "h"), "wanted")
-    every = docs.select(F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    every = docs.select(F.xxhash64(text).alias("h"), F.col(text).alias("text")).where("text IS NOT NULL")
+    held = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.select("h")))
 
+    # One step marks and deflates: two in a row would keep two Python workers for each task.
     def deflate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = pa.array([zlib.compress(t, 1) for t in b.column(1).cast(pa.binary()).to_pylist()], pa.binary())
+            b = b.filter(pa.array(marked(held.value, b.column(0).to_numpy())))
+            texts = pa.array([zlib.compress(t.as_buffer(), 1) for t in b.column(1).cast(pa.binary())], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), texts], names=["h", "text"])
+            pa.default_memory_pool().release_unused()
 
-    held = rows_marked(every, "h", wanted.select("h")).where("text IS NOT NULL").mapInArrow(deflate, "h long, text binary")
-    return stored(held.join(wanted, "h").groupBy("node").agg(F.first("text").alias("text")), "texts")
+    found = every.mapInArrow(deflate, "h long, text binary").join(wanted, "h")
+    return stored(found.groupBy("node").agg(F.first("text").alias("text")), "texts")
 
 
 def classes(
