@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 COPIES = "copies"
+#: Days in a slot of each tier of validities; longer ones than twice the last share one slot.
+SLOT_DAYS = (32, 1024)
+TIER, SLOT = "validity_tier", "validity_slot"
 
 
 def collapse(dimension: DataFrame, *columns: str) -> DataFrame:
@@ -23,10 +26,58 @@ def collapse(dimension: DataFrame, *columns: str) -> DataFrame:
     return known.groupBy(*columns).agg(F.count(F.lit(1)).alias(COPIES))
 
 
-def valid_on(visits: DataFrame, dimension: DataFrame, on: Sequence[str] = ("adid",)) -> DataFrame:
-    """Visits with the device's rows that are valid on the visit date, both ends included."""
+def valid_on(
+    visits: DataFrame, dimension: DataFrame, on: Sequence[str] = ("adid",), *, slotted: bool = False
+) -> DataFrame:
+    """Visits with the device's rows that are valid on the visit date, both ends included.
+
+    With ``slotted``, a device's rows meet only the visits near their time instead of all of them: the join is
+    one on device, tier and slot of time, see :func:`_row_slots`. That is for device tables of long histories,
+    where most rows of a device are valid on few of its days, and gives the same rows. Its price: a
+    visit is shuffled once a tier, and a device table stored by device is shuffled as well.
+    """
     in_force = (F.col("start_date") <= F.col("date")) & (F.col("date") <= F.col("end_date"))
-    return visits.join(dimension, list(on)).where(in_force)
+    if not slotted:
+        return visits.join(dimension, list(on)).where(in_force)
+    near = visits.select("*", F.inline(_visit_slots()))
+    spread = dimension.where("start_date <= end_date").select("*", F.inline(_row_slots()))
+    return near.join(spread, [*on, TIER, SLOT]).where(in_force).drop(TIER, SLOT)
+
+
+def _day(column: str) -> Column:
+    return F.unix_date(F.col(column).cast("date"))
+
+
+def _slot(day: Column, tier: int) -> Column:
+    """Slot of a day; the last tier has but one."""
+    return F.floor(day / F.lit(SLOT_DAYS[tier])) if tier < len(SLOT_DAYS) else F.lit(0).cast("long")
+
+
+def _visit_slots() -> Column:
+    """The slot of the visit's day in every tier."""
+    tiers = range(len(SLOT_DAYS) + 1)
+    return F.array(*[F.struct(F.lit(t).alias(TIER), _slot(_day("date"), t).alias(SLOT)) for t in tiers])
+
+
+def _row_slots() -> Column:
+    """The slots of a device row's validity, in the one tier its length belongs to.
+
+    A row valid for at most two slots of a tier touches three of them at most. Rows too long for a tier are in
+    the next, so of rows that do not overlap few share a slot, however long the history. As a row is in one
+    tier and a visit in one slot of it, each pair meets once.
+    """
+    first, last = _day("start_date"), _day("end_date")
+    length = last - first + 1
+
+    def slots(tier: int) -> Column:
+        return F.transform(
+            F.sequence(_slot(first, tier), _slot(last, tier)), lambda s: F.struct(F.lit(tier).alias(TIER), s.alias(SLOT))
+        )
+
+    chosen = F.when(length <= 2 * SLOT_DAYS[0], slots(0))
+    for tier in range(1, len(SLOT_DAYS)):
+        chosen = chosen.when(length <= 2 * SLOT_DAYS[tier], slots(tier))
+    return chosen.otherwise(slots(len(SLOT_DAYS)))
 
 
 def valid_between(dimension: DataFrame, first: str | None, last: str | None) -> DataFrame:

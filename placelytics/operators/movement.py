@@ -29,6 +29,7 @@ def covisited_spots(
     start: str | None = None,
     end: str | None = None,
     days: Iterable[str] | None = None,
+    slotted: bool = False,
 ) -> DataFrame:
     """Visits of a place's visitors to other spots of the allowed categories.
 
@@ -39,7 +40,8 @@ def covisited_spots(
     times. With ``grain="day"`` only the spot rows of the visit's own month apply and the counts
     are per day. A spot in several allowed categories gives one row for each.
 
-    Spots outside the areas and categories are dropped before the join with the visits.
+    Spots outside the areas and categories are dropped before the join with the visits. ``slotted`` is for
+    long histories of spots by month, see :func:`valid_on`; by day the month is part of the join's key.
     """
     schemas.check(device_days, schemas.TENANT_DEVICE_DAYS, "device_days")
     schemas.check(device_spots, schemas.DEVICE_SPOTS, "device_spots")
@@ -64,7 +66,7 @@ def covisited_spots(
     )
     if grain == "month":
         period = "start_date"
-        together = valid_on(device_days, spots)
+        together = valid_on(device_days, spots, slotted=slotted)
     elif grain == "day":
         period = "date"
         monthly = spots.withColumnRenamed("start_date", "month_start")

@@ -53,10 +53,12 @@ def profile_location(
     start: str | None = None,
     end: str | None = None,
     days: Iterable[str] | None = None,
+    slotted: bool = False,
 ) -> DataFrame:
     """Visitors per day, place and home or work area that was valid on the day.
 
     ``start``, ``end`` and ``days`` limit the days, and with them the rows read of ``home_work``.
+    ``slotted`` is for long histories of areas, see :func:`valid_on`.
     """
     schemas.check(device_days, schemas.DEVICE_DAYS, "device_days")
     schemas.check(home_work, schemas.HOME_WORK, "home_work")
@@ -67,7 +69,7 @@ def profile_location(
         *["adid", *AREA, "start_date", "end_date"],
     )
     counts = (
-        valid_on(device_days, areas)
+        valid_on(device_days, areas, slotted=slotted)
         .groupBy("date", *PLACE, *AREA)
         .agg(counted(distinct_devices))
     )
@@ -114,6 +116,7 @@ def profile_cohort(
     start: str | None = None,
     end: str | None = None,
     days: Iterable[str] | None = None,
+    slotted: bool = False,
 ) -> DataFrame:
     """Visitors per day, place, interest cohort and topic.
 
@@ -122,7 +125,8 @@ def profile_cohort(
     Each device counts once per cohort and topic row. Devices with an empty or missing cohort
     list drop out. The lists are unrolled before they are collapsed, so an id that recurs with
     many different lists still brings each cohort to the join only once. ``hot`` splits
-    devices of very many days, once for both joins.
+    devices of very many days, once for both joins. ``slotted`` is for long histories of cohorts, see
+    :func:`valid_on`.
     """
     schemas.check(device_days, schemas.DEVICE_DAYS, "device_days")
     schemas.check(cohorts, schemas.COHORTS, "cohorts")
@@ -135,7 +139,7 @@ def profile_cohort(
     behaviour = select_topics(topics, version, number, pattern).withColumnRenamed(COPIES, "topic_copies")
     seen, (interests, behaviour), on = split_hot(device_days, [interests, behaviour], hot)
     counts = (
-        valid_on(seen, interests, on)
+        valid_on(seen, interests, on, slotted=slotted)
         .join(behaviour, on)
         .groupBy(*PLACE, "date", "visit_category", "cohort", *TOPIC)
         .agg(counted(distinct_devices, F.col(COPIES) * F.col("topic_copies")))

@@ -255,6 +255,7 @@ def oracle_sql() -> dict[str, str]:
         "device_days_all": _with(_ALL_DAYS) + "SELECT * FROM all_days",
         "profile_location": _location(2),
         "profile_location_unsuppressed": _location(1),
+        "profile_location_slotted": _location(1),
         "profile_topic": _with(_OWN_DAYS) + """
 SELECT d.place_id, d.competitor_id, d.date, t.topic_id, t.pattern, t.topic_number, count(d.adid) AS count
 FROM own_days d
@@ -267,6 +268,7 @@ GROUP BY d.place_id, d.competitor_id, d.date, t.topic_id, t.pattern, t.topic_num
         "profile_cohort_min2": _cohort(2),
         "profile_cohort_split": _cohort(2),
         "covisited_monthly": _covisited("s.start_date", ""),
+        "covisited_monthly_slotted": _covisited("s.start_date", ""),
         "covisited_daily": _covisited("d.date", " AND s.start_date = d.date[1:7] || '-01'"),
         "topic_versions": _with() + "SELECT DISTINCT ver FROM topics",
         "pos_sales": _with(_SALES) + """

@@ -235,9 +235,13 @@ def profile_reports(
     days: Iterable[str] | None = None,
     prefectures: Iterable[str] = profiles.PREFECTURES,
     category: str = profiles.INTEREST_CATEGORY,
+    slotted: bool = False,
     format: str = "parquet",
 ) -> list[str]:
-    """Home and work areas, topics, and cohorts by topic, by day; by default of one day."""
+    """Home and work areas, topics, and cohorts by topic, by day; by default of one day.
+
+    ``slotted`` is for device tables of long histories.
+    """
     if start is None and end is None and days is None:
         days = [report_day()]
     days = days if days is None else sorted(set(days))
@@ -248,9 +252,9 @@ def profile_reports(
         hot = skew.hot_cells(own, ["adid"])
         configured = visits.configured_only(own, config)
         reports = {
-            "location": profiles.profile_location(own, home_work, prefectures=prefectures, **span),
+            "location": profiles.profile_location(own, home_work, prefectures=prefectures, slotted=slotted, **span),
             "topic": profiles.profile_topic(configured, topics, hot=hot),
-            "topic_to_cohort": profiles.profile_cohort(own, cohorts, topics, category=category, hot=hot, **span),
+            "topic_to_cohort": profiles.profile_cohort(own, cohorts, topics, category=category, hot=hot, slotted=slotted, **span),
         }
         for name, report in reports.items():
             keys = [c for c in report.columns if c not in ("date", "count")]

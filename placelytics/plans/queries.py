@@ -60,7 +60,7 @@ def _split_cohort(t: Tables) -> DataFrame:
     return profiles.profile_cohort(days, t.cohorts, t.topics, category=fixtures.CATEGORY, min_count=2, hot=hot)
 
 
-def _covisited(grain: str) -> Callable[[Tables], DataFrame]:
+def _covisited(grain: str, **options) -> Callable[[Tables], DataFrame]:
     return lambda t: movement.covisited_spots(
         _all_days(t),
         t.device_spots,
@@ -68,6 +68,7 @@ def _covisited(grain: str) -> Callable[[Tables], DataFrame]:
         t.categories,
         grain=grain,
         prefectures=fixtures.PREFECTURES,
+        **options,
     )
 
 
@@ -114,11 +115,13 @@ _PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "device_days_all": _all_days,
     "profile_location": _location(),
     "profile_location_unsuppressed": _location(min_count=None),
+    "profile_location_slotted": _location(min_count=None, slotted=True),
     "profile_topic": lambda t: profiles.profile_topic(_device_days(t, require_config=True), t.topics),
     "profile_cohort": _cohort(),
     "profile_cohort_min2": _cohort(min_count=2),
     "profile_cohort_split": _split_cohort,
     "covisited_monthly": _covisited("month"),
+    "covisited_monthly_slotted": _covisited("month", slotted=True),
     "covisited_daily": _covisited("day"),
     "topic_versions": lambda t: profiles.topic_versions(t.topics),
     "pos_sales": _sales_as_text,

@@ -24,11 +24,13 @@ ROWS = {
     "device_days_all": 7350,
     "profile_location": 306,
     "profile_location_unsuppressed": 3038,
+    "profile_location_slotted": 3038,
     "profile_topic": 360,
     "profile_cohort": 53,
     "profile_cohort_min2": 2323,
     "profile_cohort_split": 2323,
     "covisited_monthly": 276,
+    "covisited_monthly_slotted": 276,
     "covisited_daily": 8245,
     "topic_versions": 2,
     "pos_sales": 1841,

@@ -1,0 +1,59 @@
+import datetime as dt
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from rows import device_days, rows_of, visit
+
+from placelytics.operators.dimensions import SLOT, TIER, _row_slots, _visit_slots, valid_on
+
+EPOCH = dt.date(1970, 1, 1)
+
+
+def day(n):
+    return (EPOCH + dt.timedelta(days=n)).isoformat()
+
+
+def history(spark, *spans, adid="d1"):
+    rows = [(adid, a, b, i) for i, (a, b) in enumerate(spans)]
+    return spark.createDataFrame(rows, "adid string, start_date string, end_date string, row int")
+
+
+def days_of(spark, *days):
+    return device_days(spark, *[visit(when=f"{d}T12:00:00") for d in days])
+
+
+dates = st.integers(-800, 30_000).map(day)
+spans = st.tuples(dates, st.one_of(dates, st.just("9999-12-31"), st.none()))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(dates, min_size=1, max_size=6, unique=True), st.lists(spans, min_size=1, max_size=12))
+def test_slots_change_no_row(spark, seen, held):
+    visits, rows = days_of(spark, *seen), history(spark, *held)
+    found = rows_of(valid_on(visits, rows, slotted=True))
+    assert found == rows_of(valid_on(visits, rows))
+    assert len(found) == sum(a <= d <= b for d in seen for a, b in held if b is not None)
+
+
+def test_ends_count_and_edges_of_tiers(spark):
+    lengths = (1, 31, 32, 33, 63, 64, 65, 1023, 1024, 1025, 2047, 2048, 2049)
+    held = [(day(a), day(a + n - 1)) for a in (-1, 0, 1, 31, 32) for n in lengths]
+    seen = sorted({d for span in held for d in span})
+    visits, rows = days_of(spark, *seen), history(spark, *held)
+    assert rows_of(valid_on(visits, rows, slotted=True)) == rows_of(valid_on(visits, rows))
+
+
+def test_long_histories_do_not_meet_every_visit(spark):
+    def met(months):
+        held = [(day(30 * m), day(30 * m + 29)) for m in range(months)]
+        visits = days_of(spark, *[day(30 * m + 7) for m in range(months)])
+        near = visits.select("*", F.inline(_visit_slots()))
+        spread = history(spark, *held).select("*", F.inline(_row_slots()))
+        assert valid_on(visits, history(spark, *held), slotted=True).count() == months
+        return near.join(spread, ["adid", TIER, SLOT]).count()
+
+    # The product would be 200 and 800 rows a visit.
+    assert met(200) <= 4 * 200
+    assert met(800) <= 4 * 800
+
