@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from placelytics import schemas
 from placelytics.functions.codes import shop_code, strict_int
+from placelytics.sources.workbooks import read_sheets
 
 # Column headers of the files.
 CATEGORY_HEADER = "カテゴリー"
@@ -90,7 +91,8 @@ def read_pos(
 ) -> DataFrame:
     """Sold lines from folders of exports, read by the executors in one scan per folder.
 
-    The files of a folder share one layout; folders are united by column name, so their column
+    ``format="workbook"`` reads ``.xlsx`` files, their first sheet or the one ``options`` names as ``sheet``;
+    its files may differ in the order of their columns. Any other format is one of Spark's. The files of a folder share one layout; folders are united by column name, so their column
     order may differ. ``purchase_days`` keeps the lines whose ``yyyyMMdd`` purchase day is one
     of the given ``yyyy-MM-dd`` days. Shop codes come out padded.
     """
@@ -99,10 +101,12 @@ def read_pos(
     wanted = None if purchase_days is None else [day.replace("-", "") for day in purchase_days]
 
     def lines(folder: str) -> DataFrame:
-        settings = {**(_CSV if format == "csv" else {}), **(options or {})}
-        df = spark.read.format(format).options(**settings).load(folder)
         kept = [*columns, *([] if wanted is None else [day_column])]
-        df = _columns(df, folder, kept)
+        if format == "workbook":
+            df = read_sheets(spark, folder, kept, **(options or {}))
+        else:
+            settings = {**(_CSV if format == "csv" else {}), **(options or {})}
+            df = _columns(spark.read.format(format).options(**settings).load(folder), folder, kept)
         if wanted is not None:
             df = df.where(F.col(day_column).cast("string").isin(wanted))
         return df.select([F.col(theirs).alias(ours) for theirs, ours in columns.items()])
