@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 
 from placelytics.llm.shared import require
 
-KEY = b"pseudonyms"
 ROUNDS = 8
 
 
@@ -61,7 +60,7 @@ def _redrawn(shape: str, digits: str) -> str:
 
 def _card(found: str, key: bytes) -> str | None:
     digits = re.sub(r"\D", "", found)
-    if not 13 <= len(digits) <= 19 or not luhn_ok(digits) or len(set(digits)) == 1:
+    if not 13 <= len(digits) <= 19 or not luhn_ok(digits):
         return None
     # The first digit, which names the network, and the length stay.
     n = len(digits) - 2
@@ -75,8 +74,6 @@ def _phone_ok(number: int) -> bool:
     return area >= 200 and exchange >= 200 and area % 100 != 11 and exchange % 100 != 11
 
 
-#: What forms print in place of a number, and nobody can have.
-_NO_PHONES = (0, 1_111_111_111)
 _TWO_DIGIT_COUNTRIES = frozenset(
     "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66"
     " 81 82 84 86 90 91 92 93 94 95 98".split()
@@ -97,10 +94,10 @@ def _phone(found: str, key: bytes) -> str | None:
         if country == "7" and n != 10:
             return None
         return _redrawn(found, country + f"{permuted(number, 10**n, key + b'phone%d+' % n + country.encode()):0{n}}")
-    if n != 10 or number in _NO_PHONES:
+    if n != 10:
         return None
     dialled = _phone_ok(number)
-    new = permuted(number, 10**10, key + b"phone", lambda x: x not in _NO_PHONES and _phone_ok(x) == dialled)
+    new = permuted(number, 10**10, key + b"phone", lambda x: _phone_ok(x) == dialled)
     return _redrawn(found, f"{country}{new:010}")
 
 
@@ -136,20 +133,14 @@ def _ip_ok(number: int) -> bool:
     return 0 < number >> 24 < 224 and number >> 24 not in (10, 127)
 
 
-#: 10.0.0.1, the gateway of any number of private nets.
-_NO_IP = 10 << 24 | 1
-
-
 def _ip(found: str, key: bytes) -> str | None:
     """Public addresses go to public ones, and others to others."""
     parts = [int(p) for p in found.split(".")]
     if max(parts) > 255:
         return None
     number = int.from_bytes(bytes(parts), "big")
-    if number == _NO_IP:
-        return None
     public = _ip_ok(number)
-    new = permuted(number, 1 << 32, key + b"ip", lambda x: x != _NO_IP and _ip_ok(x) == public)
+    new = permuted(number, 1 << 32, key + b"ip", lambda x: _ip_ok(x) == public)
     return ".".join(map(str, new.to_bytes(4, "big")))
 
 
@@ -180,7 +171,8 @@ def _mail(found: str, key: bytes) -> str | None:
     for c, n in zip((c for c in name.lower() if c.isalnum()), sizes, strict=True):
         number, size = number * n + (int(c) if n == 10 else ord(c) - 97), size * n
     shape = re.sub(r"[a-z]", "a", re.sub(r"\d", "0", name.lower()))
-    number = permuted(number, size, key + b"mail" + f"{shape}@{domain.lower()}".encode()[:40]) if size > 1 else 0
+    own = hashlib.blake2b(f"{shape}@{domain.lower()}".encode(), digest_size=24).digest()
+    number = permuted(number, size, key + b"mail" + own) if size > 1 else 0
     new = []
     for n in reversed(sizes):
         number, digit = divmod(number, n)
@@ -238,7 +230,7 @@ def _ends(kind: str, text: str, start: int, longest: int) -> list[int]:
     return ends
 
 
-def pseudonymised(text: str, key: bytes = KEY) -> tuple[str, int]:
+def pseudonymised(text: str, key: bytes) -> tuple[str, int]:
     """``text`` with its valid values replaced, and their number. Text without any comes back as it is.
 
     Where the longest match of a kind fails its check, its shorter ends and the other kinds are tried,
@@ -287,13 +279,16 @@ def pseudonymised(text: str, key: bytes = KEY) -> tuple[str, int]:
     return "".join([*pieces, text[copied:]]) if done else text, done
 
 
-def pseudonymise(docs: DataFrame, id: str = "doc_id", text: str = "text", key: bytes = KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, id: str = "doc_id", text: str = "text", *, key: bytes) -> DataFrame:
     """``(id, text, n_values)`` of every row: the text with pseudonyms, and how many it holds.
 
-    What only looks like a value, such as a number with a wrong check digit, stays. A null text
+    ``key`` is the user's own, of 1 to 32 bytes; who knows it can turn every pseudonym back. Every value whose format
+    and check digits are right is replaced. What only looks like a value, such as a number with a wrong check digit, stays. A null text
     stays null with 0 values; repeated rows give equal results; an empty table an empty one.
     """
     require(docs, id, text)
+    if not 1 <= len(key) <= 32:
+        raise ValueError("the key must have 1 to 32 bytes")
 
     def batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

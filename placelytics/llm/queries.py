@@ -103,7 +103,9 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(_table(spark, sf_dir, "documents"))
+    """The key is the session's ``spark.placelytics.pii.key``; a public one does for tables of made-up values."""
+    key = spark.conf.get("spark.placelytics.pii.key", "test tables")
+    return pii.pseudonymise(_table(spark, sf_dir, "documents"), key=key.encode())
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
