@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from placelytics.llm.shared import ascii_lower, require, stored
 
 SIZE = 10
-#: The set of n-grams is broadcast up to this many; beyond it the probe is a shuffled join.
-BROADCAST_NGRAMS = 500_000
+#: The set of n-grams is broadcast up to this many, and bytes of words and items; beyond, the probe is shuffled.
+BROADCAST_NGRAMS, BROADCAST_BYTES = 500_000, 64 << 20
 #: Names of contaminated documents that are broadcast, 16 bytes and an id each; beyond, documents are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -47,22 +47,63 @@ def benchmark_ngrams(benchmark: DataFrame, id: str = "item_id", text: str = "tex
     )
 
 
+def _few(ngrams: DataFrame) -> bool:
+    """Whether the n-grams, with their items, may be broadcast."""
+    held = F.octet_length(F.array_join("gram", " ")) + F.octet_length(F.array_join("items", " "))
+    size = ngrams.agg(F.count("*").alias("n"), F.coalesce(F.sum(held), F.lit(0)).alias("bytes")).first()
+    return size["n"] <= BROADCAST_NGRAMS and size["bytes"] <= BROADCAST_BYTES
+
+
+def _found_by_broadcast(split: DataFrame, ngrams: DataFrame) -> DataFrame:
+    """``(id, h, first, end, items)`` of every occurrence of an n-gram in ``(id, h, w)``."""
+    at_word = split.select("id", "h", "w", F.posexplode("w").alias("pos", "word"))
+    first = F.col("pos") - F.col("at")
+    window = F.slice("w", F.greatest(first, F.lit(0)) + 1, F.size("gram"))
+    return at_word.join(
+        F.broadcast(ngrams), (F.col("word") == F.col("anchor")) & (first >= 0) & (window == F.col("gram"))
+    ).select("id", "h", first.alias("first"), (first + F.size("gram")).alias("end"), "items")
+
+
+def _found_by_shuffle(split: DataFrame, ngrams: DataFrame) -> DataFrame:
+    """The same without a broadcast: no row that is shuffled by a word carries the words of its document.
+
+    Places of words are joined with the anchors by hash. The places that an anchor hits, with the shapes
+    ``(at, n)`` of its n-grams, of which there are fewer than ``size`` squared, go back to their document, which cuts
+    out just those windows; the windows are joined with the n-grams, and that decides.
+    """
+    shapes = ngrams.groupBy(F.xxhash64("anchor").alias("word")).agg(
+        F.collect_set(F.struct("at", F.size("gram").alias("n"))).alias("shapes")
+    )
+    places = split.select("id", "h", F.posexplode(F.transform("w", lambda w: F.xxhash64(w))).alias("pos", "word"))
+    asked = (
+        places.join(shapes, "word")
+        .groupBy(F.col("id").alias("asked_id"), F.col("h").alias("asked_h"))
+        .agg(F.collect_set(F.struct("pos", "shapes")).alias("asked"))
+    )
+    whole = split.join(asked, F.col("id").eqNullSafe(F.col("asked_id")) & (F.col("h") == F.col("asked_h")))
+    cut = F.flatten(
+        F.transform(
+            "asked",
+            lambda a: F.transform(
+                F.filter(a["shapes"], lambda s: a["pos"] >= s["at"]),
+                lambda s: F.struct(
+                    (a["pos"] - s["at"]).alias("first"), F.slice("w", a["pos"] - s["at"] + 1, s["n"]).alias("gram")
+                ),
+            ),
+        )
+    )
+    windows = whole.select("id", "h", F.inline(cut)).join(ngrams.select("gram", "items"), "gram")
+    return windows.select("id", "h", "first", (F.col("first") + F.size("gram")).alias("end"), "items")
+
+
 def hits(docs: DataFrame, ngrams: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, h, items, spans, n_hit)`` of the documents with occurring windows.
 
     ``h`` hashes the text, so that repeated ids with unlike texts stay apart. ``spans`` are the
     merged runs ``(first word, last word + 1)``, counted from 0; ``n_hit`` counts their words.
     """
-    if ngrams.count() <= BROADCAST_NGRAMS:
-        ngrams = F.broadcast(ngrams)
-    at_word = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("h"), words(F.col(text)).alias("w")).select(
-        "id", "h", "w", F.posexplode("w").alias("pos", "word")
-    )
-    first = F.col("pos") - F.col("at")
-    found = at_word.join(
-        ngrams,
-        (F.col("word") == F.col("anchor")) & (first >= 0) & (F.slice("w", F.greatest(first, F.lit(0)) + 1, F.size("gram")) == F.col("gram")),
-    ).select("id", "h", first.alias("first"), (first + F.size("gram")).alias("end"), "items")
+    split = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("h"), words(F.col(text)).alias("w"))
+    found = (_found_by_broadcast if _few(ngrams) else _found_by_shuffle)(split, ngrams)
     spans = F.sort_array(F.collect_set(F.struct("first", "end")))
     merged = F.aggregate(
         "spans",

@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from placelytics.llm import decontaminate
 from tests.llm import edge
 
@@ -52,6 +54,35 @@ def test_without_broadcast(spark, monkeypatch):
     assert same == sorted(map(str, decontaminate.contamination(edge.documents(spark), benchmark(spark)).drop("spans", "items").collect()))
 
 
+def test_long_texts_without_broadcast(spark, monkeypatch):
+    passage, short = " ".join(f"p{i}" for i in range(14)), "only three words"
+    long = " ".join([*(f"w{i % 700}" for i in range(20_000)), passage, *(f"w{i % 9}" for i in range(5_000)), short])
+    docs = edge.documents(spark, [(1, long, *[None] * 4), (1, long, *[None] * 4), (None, f"x {passage}", *[None] * 4), (3, "w1 w2", *[None] * 4)])
+    items = spark.createDataFrame([(1, passage), (2, short), (3, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w11")], "item_id long, text string")
+
+    def found():
+        rows = decontaminate.contamination(docs, items).select("doc_id", "n_hit", F.sort_array("items").alias("items"), "spans")
+        return sorted(map(str, rows.collect()))
+
+    near = found()
+    assert sum("n_hit=17" in row for row in near) == 2 and "n_hit=14" in "".join(near)
+    for limit in ("BROADCAST_NGRAMS", "BROADCAST_BYTES"):
+        with monkeypatch.context() as patch:
+            patch.setattr(decontaminate, limit, 0)
+            assert found() == near
+
+
+def test_words_of_a_document_are_not_shuffled_by_word(spark):
+    split = edge.documents(spark).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), decontaminate.words(F.col("text")).alias("w"))
+    ngrams = decontaminate.benchmark_ngrams(benchmark(spark))
+    plan = decontaminate._found_by_shuffle(split, ngrams)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert not re.search("EvalPython|InArrow|InPandas|NestedLoop|Cartesian", plan)
+    steps = re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning\((?:word|gram)#", plan)
+    assert steps and not any(re.search(r"\bw#", step) for step in steps)
+
+
 def test_removing_spans_and_documents(spark):
     docs = edge.documents(spark)
     clean = decontaminate.decontaminate(docs, benchmark(spark))
