@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placelytics.llm.shared import bitmap, components, cut, marked, require, rows_marked, stored, temporary
+from placelytics.llm.shared import bitmap, components, cut, marked, require, rows_marked, small_batches, stored, temporary
 from placelytics.llm.wordhash import blocks, gram_hashes, hashes, run_hashes, words
 
 WORDS, PERCENT = 5, 80
@@ -116,7 +116,7 @@ def signatures(docs: DataFrame, size: int, percent: int, id: str = "doc_id", tex
                 if held:
                     places = sum(marked(bits, s.view(np.int64)).astype(np.int64) for bits in held)
                     order = np.sort(order + (places << 61))
-                prefix = order[:keep]
+                prefix = order[:keep].copy()
                 sizes.append(n)
                 nodes.append(blake2b(s.tobytes(), digest_size=16).digest() if n else None)
                 name = blake2b(prefix.tobytes(), digest_size=8, salt=n.to_bytes(8, "big")).digest()
@@ -158,7 +158,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
                         last, own = names[i], next(shingle_sets(opened(b.column(2).slice(i, 1)), size))
                     both = len(np.intersect1d(own, other, assume_unique=True))
                     linked[i] = 100 * both >= percent * (len(own) + len(other) - both)
-            yield b.filter(pa.array(linked)).select(["a", "b"])
+            yield b.select(["a", "b"]).filter(pa.array(linked))
             pa.default_memory_pool().release_unused()
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -300,7 +300,7 @@ def classes(
     has a null id. ``h`` hashes the text. An empty table gives an empty result.
     """
     require(docs, id, text)
-    with temporary(docs.sparkSession):
+    with temporary(docs.sparkSession), small_batches(docs.sparkSession):
         return stored(_classes(docs, id, text, size, percent), "classes", keep=True)
 
 

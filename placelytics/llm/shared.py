@@ -61,6 +61,25 @@ def stored(df: DataFrame, name: str, *, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a batch of rows that a task hands to Python at once, whatever the length of its texts.
+BATCH_BYTES = 4 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs within hands rows to Python in batches of ``BATCH_BYTES``, and a row at least; restored at the end.
+
+    A batch is held in the JVM and in Python, and so is what is made of it; in Spark's own 10,000 rows, texts take tens of MB.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """The tables of one operator call, in a folder of its own under the shared one.
 

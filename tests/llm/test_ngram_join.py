@@ -1,8 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from placelytics.llm import ngram_join
+from placelytics.llm import ngram_join, shared
 from tests.llm import edge
 
 
@@ -113,3 +114,21 @@ def test_groups_of_several_components_equal_brute_force(spark):
             for _ in range(6):
                 rows.append((len(rows), edge.edited(base, [rng.randrange(120) for _ in range(far)], rng), *[None] * 4))
     assert found(spark, rows, 3, 90) == brute(rows, 3, 90)
+
+
+def test_python_gets_batches_of_bounded_bytes(spark, monkeypatch):
+    """12 MB of texts in one partition: fewer rows than Spark puts into a batch."""
+    sets = ngram_join.shingle_sets
+
+    def bounded(column, size, most=shared.BATCH_BYTES + (1 << 20)):
+        assert column.nbytes <= most
+        return sets(column, size)
+
+    monkeypatch.setattr(ngram_join, "shingle_sets", bounded)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    text = F.concat_ws(" ", F.col("id") % 300, F.repeat(F.lit("word "), 4000))
+    docs = spark.range(0, 600, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    found = ngram_join.classes(docs, size=3, percent=90)
+    assert found.where("n = 2 AND component_id = doc_id % 300").count() == 600
+    assert spark.conf.get(key) == before
