@@ -26,7 +26,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placelytics.llm.shared import bitmap, components, cut, marked, require, rows_marked, small_batches, stored, temporary
@@ -37,6 +37,8 @@ WORDS, PERCENT = 5, 80
 COMMON_FROM, CLASS_STEP, CLASSES = 3, 3, 3
 #: The least class starts higher where it would hold more n-grams than this, an eighth of a bitmap's bits.
 COMMON_MOST = 1 << 23
+#: So many n-grams before one in a prefix tell that a pair has met there already.
+BEFORE = 8
 #: Columns of a set's sketch, 64 bits each.
 _SKETCH = ("sketch0", "sketch1", "sketch2", "sketch3")
 
@@ -187,6 +189,31 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _with_before(lists: DataFrame) -> DataFrame:
+    """``lists`` with the few n-grams ``before`` each one in the prefix it stands in."""
+    few = Window.partitionBy("grp").orderBy("pos").rowsBetween(-BEFORE, -1)
+    return lists.withColumn("before", F.collect_list("gram").over(few))
+
+
+def _meetings(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups in different components that share an n-gram and may be similar.
+
+    A pair is made at the first n-gram it shares, and at a later one only if none of the few before that
+    is shared. The others would fill the join with the same pair once for each n-gram of a passage.
+    """
+    a, b = (
+        lists.select("gram", *(F.col(c).alias(f"{x}{c}") for c in ("grp", "n", "pos", "low", "high", "several", "before", *_SKETCH)))
+        for x in "ab"
+    )
+    across = (F.col("alow") != F.col("blow")) | (F.col("alow") != F.col("ahigh")) | (F.col("blow") != F.col("bhigh"))
+    # The sketch of a group of one set is that of the set.
+    close = F.col("aseveral") | F.col("bseveral") | _sketches_fit(percent)
+    anew = ~F.arrays_overlap("abefore", "bbefore")
+    return a.join(
+        b, (a["gram"] == b["gram"]) & (F.col("agrp") < F.col("bgrp")) & across & _fits("a", "b", percent) & close & anew
+    ).select(F.col("agrp").alias("xgrp"), *(F.col(f"b{c}").alias(f"y{c}") for c in ("grp", "n", "low", "high", "several", *_SKETCH)))
+
+
 def links(docs: DataFrame, rows: DataFrame, size: int, percent: int, text: str = "text") -> DataFrame:
     """Verified links ``(a, b)`` between sets, enough of them to connect every component."""
     full = rows.where("n > 0")
@@ -228,23 +255,12 @@ def links(docs: DataFrame, rows: DataFrame, size: int, percent: int, text: str =
             *(F.first(c).alias(c) for c in _SKETCH),
         )
     )
-    ranged = lists.join(ranges, "grp")
+    ranged = _with_before(lists.join(ranges, "grp"))
     # A list of two groups of one set each is done: its one pair has been verified.
     spans = [F.min("low").alias("l"), F.max("high").alias("h"), F.max("several").alias("any_several"), F.max("k").alias("most")]
     mixed = ranged.groupBy("gram").agg(*spans).where("l <> h AND (most > 2 OR any_several)").select("gram")
     open_ = stored(ranged.join(mixed, "gram"), "open")
-    a, b = (
-        open_.select("gram", *(F.col(c).alias(f"{x}{c}") for c in ("grp", "n", "pos", "low", "high", "several", *_SKETCH)))
-        for x in "ab"
-    )
-    across = (F.col("alow") != F.col("blow")) | (F.col("alow") != F.col("ahigh")) | (F.col("blow") != F.col("bhigh"))
-    # The sketch of a group of one set is that of the set.
-    close = F.col("aseveral") | F.col("bseveral") | _sketches_fit(percent)
-    pairs = (
-        a.join(b, (a["gram"] == b["gram"]) & (F.col("agrp") < F.col("bgrp")) & across & _fits("a", "b", percent) & close)
-        .select(F.col("agrp").alias("xgrp"), *(F.col(f"b{c}").alias(f"y{c}") for c in ("grp", "n", "low", "high", "several", *_SKETCH)))
-        .distinct()
-    )
+    pairs = _meetings(open_, percent).distinct()
     sides = {x: _side(placed, x, "root") for x in "ab"}
     unlike = (F.col("aroot") != F.col("broot")) & _sketches_fit(percent)
     whole = ((F.col("ylow") != F.col("yhigh")) | (F.col("aroot") != F.col("ylow"))) & (

@@ -132,3 +132,26 @@ def test_python_gets_batches_of_bounded_bytes(spark, monkeypatch):
     found = ngram_join.classes(docs, size=3, percent=90)
     assert found.where("n = 2 AND component_id = doc_id % 300").count() == 600
     assert spark.conf.get(key) == before
+
+
+def test_pairs_meet_once_however_many_ngrams_they_share(spark):
+    """Sets of one passage in 30 components, with words of their own between: pairs, not pairs times n-grams."""
+    rng, rows, prefixes = random.Random(12), [], {}
+    for grp in range(30):
+        own = {1000 * (grp + 1) + i for i in range(rng.randrange(3))}
+        prefixes[grp] = sorted({g for g in range(0, 40000, 1000) if rng.random() < 0.9} | own)
+        for pos, gram in enumerate(prefixes[grp]):
+            rows.append((gram, grp, 200, pos, grp, grp, False, 0, 0, 0, 0))
+    lists = spark.createDataFrame(
+        rows, "gram long, grp long, n long, pos int, low long, high long, several boolean, " + ", ".join(f"{c} long" for c in ngram_join._SKETCH)
+    )
+    met = [(r.xgrp, r.ygrp) for r in ngram_join._meetings(ngram_join._with_before(lists), 80).collect()]
+    expected = {(a, b) for a in prefixes for b in prefixes if a < b and set(prefixes[a]) & set(prefixes[b])}
+    assert set(met) == expected
+    assert len(met) <= 1.1 * len(expected)
+
+
+def test_no_pair_is_lost_where_few_ngrams_before_one_are_known(spark, monkeypatch):
+    rows = families(6)
+    monkeypatch.setattr(ngram_join, "BEFORE", 1)
+    assert found(spark, rows, 3, 80) == brute(rows, 3, 80)
